@@ -1,7 +1,8 @@
 """Projections of the test tables into the shape of the real inputs.
 
 The text of births and deaths is shared with the DuckDB side; only the functions named in
-``Dialect`` differ. Every row of ``orders`` is a birth, every row of ``lineitem`` a death. Some
+``Dialect`` differ. All three tables grow with the data, so none of them is broadcast (DuckDB
+reads the hint as a comment). Every row of ``orders`` is a birth, every row of ``lineitem`` a death. Some
 values are bad on purpose: missing and impossible dates, odd clock times, several spellings.
 """
 
@@ -27,7 +28,7 @@ class Dialect(NamedTuple):
     orders: str
     lineitem: str
     customer: str
-    lineage: str
+    lineage: str  # columns that tell the position of a record in its file
 
     def date(self, day: str) -> str:
         return self.digits.format(x=day)
@@ -47,10 +48,10 @@ SPARK = Dialect(
 DUCKDB = Dialect(
     "strftime({x}, '%d%m%Y')",
     "(cast({x} as date) + cast({n} as integer))",
-    "orders",
-    "lineitem",
+    "placed_orders",
+    "placed_lineitem",
     "customer",
-    "",
+    ", r.position",
 )
 
 
@@ -71,7 +72,7 @@ def births_sql(d: Dialect) -> str:
     k = "r.o_orderkey"
     day = "r.o_orderdate"
     return f"""
-    select {k} as rec_id{d.lineage},
+    select /*+ merge(c) */ {k} as rec_id{d.lineage},
       case when {k} % 97 = 0 then null when {k} % 101 = 0 then '32132010'
            when {k} % 103 = 0 then '7051998' else {d.date(day)} end as DTNASC,
       case {k} % 5 when 0 then null when 1 then '2575' when 2 then '9H30' when 3 then '915'
@@ -142,7 +143,7 @@ def deaths_sql(d: Dialect) -> str:
     spread = f"({k} * 7919 + r.l_linenumber * 104729 + {p} * 31) % 90000"
     death_day = d.add("r.l_shipdate", spread)
     return f"""
-    select {", ".join("r." + column for column in DEATH_KEY)}{d.lineage},
+    select /*+ merge(o, c) */ {", ".join("r." + column for column in DEATH_KEY)}{d.lineage},
       {d.date("o.o_orderdate")} as DTNASC,
       case when {p} % 89 = 0 then null when {p} % 97 = 0 then '32132010'
            when {p} % 101 = 0 then '7051998' else {d.date(death_day)} end as DTOBITO,

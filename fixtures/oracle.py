@@ -22,12 +22,17 @@ def _clock(column: str) -> str:
     return f"CASE WHEN {_VALID_CLOCK.format(c=column)} THEN {column} ELSE '0000' END"
 
 
-RAW_BIRTHS = f"raw_births AS ({adapters.births_sql(adapters.DUCKDB)})"
+# DuckDB numbers the rows of an unordered scan in file order
+PLACED = """placed_orders AS (SELECT row_number() OVER () AS position, * FROM orders),
+placed_lineitem AS (SELECT row_number() OVER () AS position, * FROM lineitem)"""
+RAW_BIRTHS = f"{PLACED},\nraw_births AS ({adapters.births_sql(adapters.DUCKDB)})"
 CLEAN_BIRTHS = f"""clean_births AS (
   SELECT * REPLACE ({_clock("HORANASC")} AS HORANASC),
     try_strptime(DTNASC || {_clock("HORANASC")}, '%d%m%Y%H%M') AS event_ts
   FROM raw_births WHERE regexp_full_match(DTNASC, '[0-9]{{8}}'))"""
 BIRTHS = """births AS (
+  SELECT position AS person_id, * FROM clean_births WHERE event_ts IS NOT NULL)"""
+DENSE_BIRTHS = """births AS (
   SELECT row_number() OVER (ORDER BY rec_id) AS person_id, *
   FROM clean_births WHERE event_ts IS NOT NULL)"""
 BORN = (RAW_BIRTHS, CLEAN_BIRTHS, BIRTHS)
@@ -38,10 +43,13 @@ CLEAN_DEATHS = f"""clean_deaths AS (
     try_strptime(DTOBITO || {_clock("HORAOBITO")}, '%d%m%Y%H%M') AS death_ts,
     try_strptime(DTNASC, '%d%m%Y') AS birth_ts
   FROM raw_deaths WHERE regexp_full_match(DTOBITO, '[0-9]{{8}}'))"""
-DEATHS = f"""deaths AS (
+DEATHS = """deaths AS (
+  SELECT position AS person_id, * FROM clean_deaths WHERE death_ts IS NOT NULL)"""
+DENSE_DEATHS = f"""deaths AS (
   SELECT row_number() OVER (ORDER BY {", ".join(adapters.DEATH_KEY)}) AS person_id, *
   FROM clean_deaths WHERE death_ts IS NOT NULL)"""
-DIED = (RAW_DEATHS, CLEAN_DEATHS, DEATHS)
+PLACED_DEATHS = f"{PLACED},\n{RAW_DEATHS}"
+DIED = (PLACED_DEATHS, CLEAN_DEATHS, DEATHS)
 
 CITY = f"""city AS (
   SELECT n_nationkey + 1 AS location_id, n_name AS city, {U("n_nationkey")} AS county,
@@ -96,7 +104,16 @@ def _mortality() -> str:
     label1, ordinal1 = _band("taxa_mortalidade_0_1_ano", "<=", "11,1 - 13,1")
     label5, ordinal5 = _band("taxa_mortalidade_0_5_anos", "<", "11,1 - 13,0")
     return (
-        _with(*BORN, *DIED, CITY, STATES, BIRTHS_BY_STATE, DEATHS_BY_STATE)
+        _with(
+            *BORN,
+            RAW_DEATHS,
+            CLEAN_DEATHS,
+            DEATHS,
+            CITY,
+            STATES,
+            BIRTHS_BY_STATE,
+            DEATHS_BY_STATE,
+        )
         + f"""SELECT *, {label1} AS categoria_mortalidade_0_1_ano,
   {label5} AS categoria_mortalidade_0_5_anos,
   {ordinal1} AS categoria_mortalidade_0_1_ano_num,
@@ -427,7 +444,7 @@ def _flat_climate() -> str:
         + f"""SELECT code_muni, 'U' || substr(code_muni, 1, 2) AS abbrev_state,
   substr(code_muni, 1, 2) AS name_state, substr(code_muni, 1, 1) AS code_region,
   'U' || substr(code_muni, 1, 2) AS name_region, date::TIMESTAMP AS date,
-  {", ".join(f"round({name}, 6) AS {name}" for name in numbers)},
+  {", ".join(f"round({name}, 9) AS {name}" for name in numbers)},
   day(date::DATE)::VARCHAR AS n_days_TN10p, month(date::DATE)::VARCHAR AS n_days_TX90p,
   year(date::DATE)::VARCHAR AS n_days_TX_gd_35, code_muni || '-' || date AS index_level_0__
 FROM climate"""
@@ -450,7 +467,7 @@ _BUCKETS = {
 
 def _grain(bucket: str) -> str:
     return f"""SELECT ({bucket})::TIMESTAMP AS bucket, count(*) AS events,
-  round(sum(value), 6) AS total, round(max(value), 6) AS highest FROM events GROUP BY 1"""
+  round(sum(value), 2) AS total, max(value) AS highest FROM events GROUP BY 1"""
 
 
 _SHIPPED = "l_shipdate::DATE::TIMESTAMP AS valid_start_date, TIMESTAMP '2099-12-31' AS valid_end_date"
@@ -514,13 +531,13 @@ def statements() -> dict[str, str]:
         + "SELECT * FROM deaths_by_state",
         "clean_births": _with(RAW_BIRTHS, CLEAN_BIRTHS)
         + "SELECT rec_id, DTNASC, HORANASC, event_ts FROM clean_births",
-        "clean_deaths": _with(RAW_DEATHS, CLEAN_DEATHS)
+        "clean_deaths": _with(PLACED_DEATHS, CLEAN_DEATHS)
         + f"""SELECT {", ".join(adapters.DEATH_KEY)} , DTOBITO, HORAOBITO, death_ts, birth_ts
 FROM clean_deaths""",
         "rejected_births": _with(RAW_BIRTHS, CLEAN_BIRTHS)
         + """SELECT rec_id, DTNASC, 'event_ts' AS missing_columns FROM clean_births
 WHERE event_ts IS NULL""",
-        "person_births": _with(*BORN, CITY)
+        "person_births": _with(RAW_BIRTHS, CLEAN_BIRTHS, DENSE_BIRTHS, CITY)
         + _person(
             "births",
             "year(event_ts)::INTEGER",
@@ -528,7 +545,7 @@ WHERE event_ts IS NULL""",
             "day(event_ts)::INTEGER",
             "event_ts",
         ),
-        "person_deaths": _with(*DIED, CITY)
+        "person_deaths": _with(PLACED_DEATHS, CLEAN_DEATHS, DENSE_DEATHS, CITY)
         + _person(
             "deaths",
             "coalesce(year(birth_ts), 0)::INTEGER",
@@ -601,7 +618,7 @@ UNION ALL SELECT 'facility', {U("s_nationkey")}, count(*) FROM supplier GROUP BY
         "climate_daily": _with(CLIMATE)
         + "SELECT code_muni, date, "
         + ", ".join(
-            f"round({c.split(' AS ')[1]}, 6) AS {c.split(' AS ')[1]}" for c in _variables()
+            f"round({c.split(' AS ')[1]}, 9) AS {c.split(' AS ')[1]}" for c in _variables()
         )
         + " FROM climate",
         "climate_conformed": _conformed_climate(),

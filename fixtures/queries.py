@@ -50,7 +50,7 @@ def comparable(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.FloatType):
             column = F.round(column.cast("double"), 4)
         elif isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, 6)
+            column = F.round(column, 9)
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
@@ -74,25 +74,26 @@ def _deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deaths.accepted_deaths(adapters.deaths(spark, sf_dir))[0]
 
 
-def _keyed_births(spark: SparkSession, sf_dir: str, *columns: str, start: int = 1) -> DataFrame:
-    """Births with their key. Only the columns that a query uses go through the sort."""
-    records = _births(spark, sf_dir)
-    kept = records.select("rec_id", "source_file", "source_row", "event_ts", *columns)
-    return assign_keys(kept, "person_id", ["rec_id", "source_file", "source_row"], start)
+def _keyed_births(spark: SparkSession, sf_dir: str, start: int = 1) -> DataFrame:
+    """Births keyed by the position of their order in the file."""
+    scan = with_lineage(adapters.table(spark, sf_dir, "orders"))
+    return assign_keys_by_position(_births(spark, sf_dir), scan, "person_id", start)
 
 
-def _keyed_deaths(spark: SparkSession, sf_dir: str, *columns: str, start: int = 1) -> DataFrame:
-    records = _deaths(spark, sf_dir)
-    keys = [*adapters.DEATH_KEY, "source_file", "source_row"]
-    kept = records.select(*keys, "event_ts", "death_ts", "birth_ts", *columns)
-    return assign_keys(kept, "person_id", keys, start)
+def _keyed_deaths(spark: SparkSession, sf_dir: str, start: int = 1) -> DataFrame:
+    """Deaths keyed by the position of their line item in the file."""
+    scan = with_lineage(adapters.table(spark, sf_dir, "lineitem"))
+    return assign_keys_by_position(_deaths(spark, sf_dir), scan, "person_id", start)
 
 
-PERSON_SOURCES = ["SEXO", "RACACOR", "CODMUNRES", "CODESTAB"]
+def _densely_keyed(records: DataFrame, natural_key: list[str], *columns: str) -> DataFrame:
+    """Records keyed by rank of their natural key. Only the columns in use go through the sort;
+    the lineage comes last in the order, so equal natural keys are still told apart."""
+    order = [*natural_key, "source_file", "source_row"]
+    return assign_keys(records.select(*order, *columns), "person_id", order)
 
 
-def _cells(cells: tuple, records: DataFrame) -> list[str]:
-    return [cell.source for cell in cells if cell.source in records.columns]
+PERSON_SOURCES = ["SEXO", "RACACOR", "CODMUNRES", "CODESTAB"]
 
 
 @query("mortality_rates")
@@ -126,9 +127,9 @@ def mortality_rates_of_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report over person, extension, death and location tables."""
     location = adapters.city_dimension(spark, sf_dir)
     care_site = adapters.care_site_dimension(spark, sf_dir)
-    born = _keyed_births(spark, sf_dir, *PERSON_SOURCES)
+    born = _keyed_births(spark, sf_dir)
     # keys of deaths start where no birth reaches
-    died = _keyed_deaths(spark, sf_dir, *PERSON_SOURCES, "CAUSABAS", start=1 << 40)
+    died = _keyed_deaths(spark, sf_dir, start=1 << 40)
     person = births.person(born, location, care_site).unionByName(
         deaths.person(died, location, care_site)
     )
@@ -194,7 +195,7 @@ def rejected_births(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("person_births")
 def person_births(spark: SparkSession, sf_dir: str) -> DataFrame:
     return births.person(
-        _keyed_births(spark, sf_dir, *PERSON_SOURCES),
+        _densely_keyed(_births(spark, sf_dir), ["rec_id"], "event_ts", *PERSON_SOURCES),
         adapters.city_dimension(spark, sf_dir),
         adapters.care_site_dimension(spark, sf_dir),
     )
@@ -203,7 +204,7 @@ def person_births(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("person_deaths")
 def person_deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deaths.person(
-        _keyed_deaths(spark, sf_dir, *PERSON_SOURCES),
+        _densely_keyed(_deaths(spark, sf_dir), adapters.DEATH_KEY, "birth_ts", *PERSON_SOURCES),
         adapters.city_dimension(spark, sf_dir),
         adapters.care_site_dimension(spark, sf_dir),
     )
@@ -216,53 +217,57 @@ def obs_period_births(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("obs_period_deaths")
 def obs_period_deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deaths.observation_period(
-        _keyed_deaths(spark, sf_dir, "DTATESTADO", "DTCADASTRO", "DTOBITO")
-    )
+    return deaths.observation_period(_keyed_deaths(spark, sf_dir))
 
 
-def _register_facts(
-    name: str, keyed: Callable[..., DataFrame], records: Query, cells: tuple, build: Callable
-) -> None:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sources = _cells(cells, records(spark, sf_dir))
-        return build(keyed(spark, sf_dir, *sources))
+@query("facts_condition")
+def facts_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return births.condition_occurrence(_keyed_births(spark, sf_dir))
+
+
+@query("facts_procedure")
+def facts_procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return births.procedure_occurrence(_keyed_births(spark, sf_dir))
+
+
+@query("facts_measurement")
+def facts_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return births.measurement(_keyed_births(spark, sf_dir))
+
+
+@query("facts_observation")
+def facts_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return births.observation(_keyed_births(spark, sf_dir))
+
+
+@query("death_facts_condition")
+def death_facts_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deaths.condition_occurrence(_keyed_deaths(spark, sf_dir))
+
 
-    query(name)(run)
+@query("death_facts_procedure")
+def death_facts_procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deaths.procedure_occurrence(_keyed_deaths(spark, sf_dir))
 
 
-for _name, _cell_list, _build in [
-    ("facts_condition", births.mappings.BIRTH_CONDITIONS, births.condition_occurrence),
-    ("facts_procedure", births.mappings.BIRTH_PROCEDURES, births.procedure_occurrence),
-    ("facts_measurement", births.mappings.BIRTH_MEASUREMENTS, births.measurement),
-    ("facts_observation", births.mappings.BIRTH_OBSERVATIONS, births.observation),
-]:
-    _register_facts(_name, _keyed_births, adapters.births, _cell_list, _build)
-for _name, _cell_list, _build in [
-    ("death_facts_condition", deaths.mappings.DEATH_CONDITIONS, deaths.condition_occurrence),
-    ("death_facts_procedure", deaths.mappings.DEATH_PROCEDURES, deaths.procedure_occurrence),
-    ("death_facts_measurement", deaths.mappings.DEATH_MEASUREMENTS, deaths.measurement),
-]:
-    _register_facts(_name, _keyed_deaths, adapters.deaths, _cell_list, _build)
+@query("death_facts_measurement")
+def death_facts_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deaths.measurement(_keyed_deaths(spark, sf_dir))
 
 
 @query("person_extension")
 def person_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    present = set(adapters.births(spark, sf_dir).columns)
-    sources = sorted(set(births.mappings.BIRTH_EXTENSION.values()) & present)
-    return births.extension(_keyed_births(spark, sf_dir, *sources))
+    return births.extension(_keyed_births(spark, sf_dir))
 
 
 @query("death_extension")
 def death_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    present = set(adapters.deaths(spark, sf_dir).columns)
-    sources = sorted(set(deaths.mappings.DEATH_EXTENSION.values()) & present)
-    return deaths.extension(_keyed_deaths(spark, sf_dir, *sources))
+    return deaths.extension(_keyed_deaths(spark, sf_dir))
 
 
 @query("death_records")
 def death_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deaths.death(_keyed_deaths(spark, sf_dir, "CAUSABAS"))
+    return deaths.death(_keyed_deaths(spark, sf_dir))
 
 
 @query("contract_violations")
@@ -419,7 +424,7 @@ def _register_grain(grain: str) -> None:
             "ts",
             grain,
             F.count(F.lit(1)).alias("events"),
-            F.sum("value").alias("total"),
+            F.round(F.sum("value"), 2).alias("total"),
             F.max("value").alias("highest"),
         )
 

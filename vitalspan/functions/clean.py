@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EIGHT_DIGITS = "^[0-9]{8}$"
@@ -40,6 +40,16 @@ def source_date(date: Column, pattern: str = SOURCE_DATE) -> Column:
     return F.try_to_timestamp(F.lpad(date, 8, "0"), F.lit(pattern)).cast("date")
 
 
+def with_parsed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column whose expression is evaluated once per row.
+
+    Catalyst copies the expression of an ordinary column into each filter and projection above
+    it. For a parsed date that means parsing it for the null check, for every range test and for
+    the result again. A generator of one row is not copied.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def first_valid_timestamp(*dates: Column) -> Column:
     """The first of several date strings that parses."""
     return F.coalesce(*[event_timestamp(date) for date in dates])

@@ -16,10 +16,11 @@ from vitalspan.schemas import table_schema
 
 def clean_births(raw: DataFrame) -> DataFrame:
     """Records with a date, a valid or zero clock time, and ``event_ts`` where both parse."""
-    return (
-        raw.where(clean.has_event_date(F.col("DTNASC")))
-        .withColumn("HORANASC", clean.clock_or_midnight(F.col("HORANASC")))
-        .withColumn("event_ts", clean.event_timestamp(F.col("DTNASC"), F.col("HORANASC")))
+    dated = raw.where(clean.has_event_date(F.col("DTNASC"))).withColumn(
+        "HORANASC", clean.clock_or_midnight(F.col("HORANASC"))
+    )
+    return clean.with_parsed(
+        dated, "event_ts", clean.event_timestamp(F.col("DTNASC"), F.col("HORANASC"))
     )
 
 
