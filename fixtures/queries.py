@@ -450,7 +450,8 @@ def time_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_partition_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "events")
     events = adapters.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    events.repartition("day").write.partitionBy("day").parquet(path)
+    # one file per day, but several for a day that is much larger than the others
+    events.hint("rebalance", F.col("day")).write.partitionBy("day").parquet(path)
     return latest_partition(spark.read.parquet(path), ["day"])
 
 

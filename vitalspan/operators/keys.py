@@ -17,9 +17,10 @@ from vitalspan.session import scratch_path
 MAX_BROADCAST_FILES = 100_000
 
 
-def next_key(table: DataFrame, id_col: str) -> int:
-    """The first free key of a table, 1 for an empty one."""
-    return table.agg(F.coalesce(F.max(id_col), F.lit(0)) + 1).first()[0]
+def next_key(table: DataFrame, id_col: str, floor: int = 1) -> int:
+    """The first free key of a table at or above ``floor``; ``floor`` itself for an empty one."""
+    taken = table.where(F.col(id_col) >= floor).agg(F.max(id_col))
+    return taken.select(F.coalesce(F.col(f"max({id_col})") + 1, F.lit(floor))).first()[0]
 
 
 def _running_offsets(sizes: DataFrame, order: Sequence[Column]) -> DataFrame:

@@ -70,8 +70,9 @@ class TableStore:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.table(self.name(table))
 
-    def next_key(self, table: str, id_col: str) -> int:
-        return next_key(self.read(table), id_col)
+    def next_key(self, table: str, id_col: str, floor: int = 1) -> int:
+        """The first free key of a table at or above ``floor``."""
+        return next_key(self.read(table), id_col, floor)
 
     def append(self, df: DataFrame, table: str) -> int:
         """Appends by column name and returns the number of rows, counted during the write."""
@@ -81,16 +82,16 @@ class TableStore:
         return counter.get["rows"]
 
     def append_new(
-        self, df: DataFrame, table: str, key: list[str], floor: int | None = None
+        self, df: DataFrame, table: str, key: list[str], between: tuple[int, int] | None = None
     ) -> int:
         """Appends the rows whose key the table does not hold yet.
 
-        ``floor`` promises that new rows have a (single-column) key of at least that much. Only
-        such target rows are read then, and parquet statistics skip the older files.
+        ``between`` promises that the (single-column) key of ``df`` is within that half-open
+        range. Only such target rows are read then, and parquet statistics skip other files.
         """
         held = self.read(table).select(*key)
-        if floor is not None:
-            held = held.where(F.col(key[0]) >= floor)
+        if between is not None:
+            held = held.where((F.col(key[0]) >= between[0]) & (F.col(key[0]) < between[1]))
         return self.append(new_rows(df, held, key), table)
 
     def replace(self, df: DataFrame, table: str) -> None:
