@@ -134,28 +134,57 @@ DEATH_TYPE_CONCEPT = 4306655
 DEATH_SYSTEM = 2
 
 
+def _relation(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Fixed rows as a literal relation, whose size the optimizer knows."""
+    columns = [column.split() for column in schema.split(", ")]
+
+    def literal(value: object) -> str:
+        return str(value) if isinstance(value, int) else "'" + str(value).replace("'", "\\'") + "'"
+
+    values = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
+    names = ", ".join(name for name, _ in columns)
+    typed = ", ".join(f"CAST({name} AS {type_name}) AS {name}" for name, type_name in columns)
+    return spark.sql(f"SELECT {typed} FROM VALUES {values} AS fixed({names})")
+
+
 def states(spark: SparkSession) -> DataFrame:
     """The 27 federative units, with the code as text (the form it has in every other table)."""
-    rows = [(name, str(code), uf, region, label) for name, code, uf, region, label in STATES]
-    return spark.createDataFrame(
-        rows,
-        "state_name string, state_code string, state_abbreviation string,"
-        " region_code int, region_name string",
+    return _relation(
+        spark,
+        STATES,
+        "state_name string, state_code string, state_abbreviation string, region_code int,"
+        " region_name string",
     )
 
 
 def unit_types(spark: SparkSession) -> DataFrame:
     """Facility types with their concept."""
-    return spark.createDataFrame(UNIT_TYPES, "code int, name string, concept_id long")
+    return _relation(spark, UNIT_TYPES, "code int, name string, concept_id bigint")
 
 
 def sample_cities(spark: SparkSession) -> DataFrame:
     """A handful of municipalities for trying things out."""
-    return spark.createDataFrame(
-        SAMPLE_CITIES, "code int, short_code int, state_code int, state string, name string"
+    return _relation(
+        spark,
+        SAMPLE_CITIES,
+        "code int, short_code int, state_code int, state string, name string",
     )
 
 
 def sample_diagnoses(spark: SparkSession) -> DataFrame:
     """A sample ICD-10 code with its concept."""
-    return spark.createDataFrame(SAMPLE_DIAGNOSES, "code string, concept_id long")
+    return _relation(spark, SAMPLE_DIAGNOSES, "code string, concept_id bigint")
+
+
+def providers(spark: SparkSession) -> DataFrame:
+    """Kinds of birth attendants."""
+    return _relation(spark, PROVIDERS, "id bigint, concept bigint, label string, code bigint")
+
+
+def seed_care_sites(spark: SparkSession) -> DataFrame:
+    """Births outside a facility."""
+    return _relation(
+        spark,
+        SEED_CARE_SITES,
+        "id bigint, name string, concept bigint, code string, place string",
+    )

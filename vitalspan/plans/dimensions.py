@@ -108,11 +108,8 @@ def care_sites(keyed: DataFrame, start: int = 1, location_start: int = 1) -> Dat
 
 def seed_care_sites(spark: SparkSession) -> DataFrame:
     """Births outside a facility: at home, elsewhere."""
-    rows = spark.createDataFrame(
-        lookups.SEED_CARE_SITES, "id long, name string, concept long, code string, place string"
-    )
     return conform(
-        rows,
+        lookups.seed_care_sites(spark),
         table_schema("care_site"),
         {
             "care_site_id": F.col("id"),
@@ -126,11 +123,8 @@ def seed_care_sites(spark: SparkSession) -> DataFrame:
 
 def seed_providers(spark: SparkSession) -> DataFrame:
     """Kinds of birth attendants."""
-    rows = spark.createDataFrame(
-        lookups.PROVIDERS, "id long, concept long, label string, code long"
-    )
     return conform(
-        rows,
+        lookups.providers(spark),
         table_schema("provider"),
         {
             "provider_id": F.col("id"),

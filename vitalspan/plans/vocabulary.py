@@ -50,10 +50,11 @@ def read_vocabulary(spark: SparkSession, folder: str, name: str) -> tuple[DataFr
 
     typed = conform(raw.where(F.col(CORRUPT).isNull()), schema, {f.name: value(f) for f in schema})
     accepted, incomplete = split_complete(typed, required_columns(schema))
+    record = F.to_json(F.struct(*schema.names))
     broken = raw.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("line"), F.lit(CORRUPT).alias("missing_columns")
+        F.coalesce(F.col(CORRUPT), record).alias("line"), F.lit(CORRUPT).alias("missing_columns")
     )
-    rejected = incomplete.select(F.to_json(F.struct(*schema.names)).alias("line"), "missing_columns")
+    rejected = incomplete.select(record.alias("line"), "missing_columns")
     return accepted, rejected.unionByName(broken)
 
 

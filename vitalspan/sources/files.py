@@ -66,10 +66,15 @@ def read_delimited(
 def read_typed_delimited(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t"
 ) -> DataFrame:
-    """Delimited text with a declared schema; lines that do not fit it land in a column of their own."""
+    """Delimited text with a declared schema; lines that do not fit it land in ``CORRUPT``.
+
+    Column pruning is off for these reads, because a line would otherwise only count as broken in
+    queries that use its broken field.
+    """
     fields = [T.StructField(f.name, f.dataType) for f in schema.fields]
     fields.append(T.StructField(CORRUPT, T.StringType()))
-    return spark.read.schema(T.StructType(fields)).csv(
+    reader = spark.read.schema(T.StructType(fields)).option("columnPruning", "false")
+    return reader.csv(
         path, sep=sep, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
     )
 
