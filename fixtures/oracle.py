@@ -160,7 +160,7 @@ def _person(source: str, year: str, month: str, day: str, ts: str) -> str:
           "ethnicity_source_concept_id")},
   {_nulls("VARCHAR", "person_source_value", "ethnicity_source_value")}
 FROM {source} LEFT JOIN city ON CODMUNRES = substr(location_source_value, 1, 6)
-  LEFT JOIN supplier ON CODESTAB = s_suppkey::VARCHAR"""
+  LEFT JOIN (SELECT DISTINCT s_suppkey FROM supplier) ON CODESTAB = s_suppkey::VARCHAR"""
 
 
 def _cell_rows(

@@ -127,8 +127,8 @@ def test_band_edges(spark, rate, infant, under_five):
 
 def test_rate_without_deaths_or_births(spark):
     frame = spark.createDataFrame([(None, 10), (3, 0), (1, 76)], "n long, d long")
-    rates = [r.v for r in frame.select(rate_per_thousand(F.col("n"), F.col("d")).alias("v")).collect()]
-    assert rates == [0.0, 0.0, 13.16]
+    rates = frame.select(rate_per_thousand(F.col("n"), F.col("d")).alias("v")).collect()
+    assert [r.v for r in rates] == [0.0, 0.0, 13.16]
 
 
 @pytest.mark.parametrize(

@@ -166,8 +166,15 @@ def test_conform_rejects_unknown_targets(spark):
         conform(spark.range(1), table_schema("death"), {"nonsense": F.lit(1)})
 
 
+def test_conform_takes_expressions_as_text(spark):
+    row = conform(spark.range(3, 4), table_schema("death"), {"person_id": "id * 2"}).first()
+    assert row.person_id == 6 and row.death_date is None
+
+
 def test_violations(spark):
-    frame = spark.createDataFrame([(1, None), (2, None), (None, None)], "person_id long, death_date timestamp")
+    frame = spark.createDataFrame(
+        [(1, None), (2, None), (None, None)], "person_id long, death_date timestamp"
+    )
     rows = contract.violations(frame, table_schema("death")).collect()
     assert {r.column_name: r.null_rows for r in rows} == {"person_id": 1, "death_date": 3}
 

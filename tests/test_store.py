@@ -89,7 +89,8 @@ def test_jdbc_export_hands_over_its_arguments():
 
 
 def test_latest_partition_compares_values_not_text(spark, store, tmp_path):
-    frame = spark.createDataFrame([(9, 30, "a"), (10, 2, "b"), (10, 11, "c")], "y int, m int, v string")
+    rows = [(9, 30, "a"), (10, 2, "b"), (10, 11, "c")]
+    frame = spark.createDataFrame(rows, "y int, m int, v string")
     path = str(tmp_path / "parts")
     frame.write.partitionBy("y", "m").parquet(path)
     assert [r.v for r in latest_partition(spark.read.parquet(path), ["y", "m"]).collect()] == ["c"]
@@ -200,6 +201,7 @@ def test_dimension_loads(spark, loaded, tmp_path):
     cities.write_text("OID_;nome;geocodigo;Longitude;Latitude\n1;Bujari;1200138;-67,9;-9,8\n")
     assert load.load_cities(loaded, str(cities)) == 1
     assert load.load_cities(loaded, str(cities)) == 0
+    assert load.load_cities(loaded, str(cities), "municipality") == 1
     columns = ["CO_CNES", "NO_RAZAO_SOCIAL", "NO_LOGRADOURO", "NU_ENDERECO", "NO_COMPLEMENTO"]
     columns += ["NO_BAIRRO", "CO_MUNICIPIO_GESTOR", "CO_ESTADO_GESTOR", "CO_CEP"]
     columns += ["NU_LATITUDE", "NU_LONGITUDE"]
@@ -245,7 +247,9 @@ def test_climate_loads_add_new_days_only(spark, loaded, tmp_path):
 
 
 def test_vocabulary_load(spark, loaded, tmp_path):
-    (tmp_path / "DOMAIN.csv").write_text("domain_id\tdomain_name\tdomain_concept_id\nDrug\tDrug\t13\n")
+    (tmp_path / "DOMAIN.csv").write_text(
+        "domain_id\tdomain_name\tdomain_concept_id\nDrug\tDrug\t13\n"
+    )
     (tmp_path / "CONCEPT_SYNONYM.csv").write_text(
         "concept_id\tconcept_synonym_name\tlanguage_concept_id\n1\ta\t2\n1\tb\t2\n"
     )

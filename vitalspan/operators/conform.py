@@ -11,20 +11,25 @@ from pyspark.sql import types as T
 from vitalspan.functions.clean import number, source_date
 
 
-def conform(df: DataFrame, schema: T.StructType, values: Mapping[str, Column]) -> DataFrame:
+def conform(
+    df: DataFrame, schema: T.StructType, values: Mapping[str, Column | str]
+) -> DataFrame:
     """One select that gives ``df`` exactly the columns and types of ``schema``.
 
-    Values are bound by name. A target column without a value becomes a typed null, a value
-    without a target column is an error.
+    Values are columns or SQL expressions, so a mapping may come from data, and are bound by
+    name. A target column without a value becomes a typed null, a value without a target column
+    is an error.
     """
     unknown = set(values) - set(schema.names)
     if unknown:
         raise ValueError(f"not in the target schema: {', '.join(sorted(unknown))}")
+
+    def column(name: str) -> Column:
+        value = values.get(name, F.lit(None))
+        return F.expr(value) if isinstance(value, str) else value
+
     return df.select(
-        *[
-            values.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
-            for field in schema.fields
-        ]
+        *[column(field.name).cast(field.dataType).alias(field.name) for field in schema.fields]
     )
 
 
