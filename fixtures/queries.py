@@ -124,17 +124,23 @@ def _located_deaths(spark: SparkSession, sf_dir: str, location: DataFrame) -> Da
 
 @query("mortality_rates_of_model")
 def mortality_rates_of_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report over person, extension, death and location tables."""
+    """The report over stored person, extension and death tables."""
     location = adapters.city_dimension(spark, sf_dir)
     care_site = adapters.care_site_dimension(spark, sf_dir)
     born = _keyed_births(spark, sf_dir)
     # keys of deaths start where no birth reaches
     died = _keyed_deaths(spark, sf_dir, start=1 << 40)
-    person = births.person(born, location, care_site).unionByName(
-        deaths.person(died, location, care_site)
-    )
+    store = TableStore(spark, f"vitalspan_{uuid.uuid4().hex[:12]}", scratch_path(spark, "store"))
+    store.append(births.person(born, location, care_site), "person")
+    store.append(deaths.person(died, location, care_site), "person")
+    store.append(born.select("person_id"), "datasus_person")
+    store.append(deaths.death(died), "death")
     return mortality.mortality_rates_of_model(
-        person, born.select("person_id"), deaths.death(died), location, REPORT_YEAR
+        store.read("person"),
+        store.read("datasus_person"),
+        store.read("death"),
+        location,
+        REPORT_YEAR,
     )
 
 

@@ -314,3 +314,15 @@ def test_vocabulary_lines_that_do_not_fit(spark, tmp_path):
         "_corrupt_record",
         "valid_start_date",
     ]
+
+
+def test_a_lookup_too_large_to_broadcast_gives_the_same(spark, monkeypatch):
+    from vitalspan.operators import lookup
+
+    frame = spark.createDataFrame([("120040",), ("999999",), (None,)], "CODMUNRES string")
+    small = attach_city(frame, location(spark, CITIES))
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 0)
+    large = attach_city(frame, location(spark, CITIES))
+    for joined in (small, large):
+        rows = sorted((r.CODMUNRES or "", r.location_id_city) for r in joined.collect())
+        assert rows == [("", None), ("120040", 7), ("999999", None)]

@@ -2,37 +2,57 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def unique_lookup(dimension: DataFrame, key: Column, value: str) -> DataFrame:
-    """``(lookup_key, value)`` with one row per key, the lowest value winning.
+# A lookup of up to this many rows is broadcast: a key and a few short values, well below 100 MB.
+MAX_BROADCAST_ROWS = 500_000
+
+
+def unique_lookup(dimension: DataFrame, key: Column, columns: Mapping[str, str]) -> DataFrame:
+    """``lookup_key`` and the given ``{name: dimension column}``, one row per key.
 
-    A duplicated dimension row would otherwise multiply every record that refers to it. The
-    minimum combines map-side, so a key with many copies costs no more than others.
+    The row with the lowest values wins, in the order of the columns. A duplicated dimension row
+    would otherwise multiply every record that refers to it. The minimum combines map-side, so a
+    key with many copies costs no more than others.
     """
+    values = F.struct(*[F.col(source).alias(name) for name, source in columns.items()])
     return (
-        dimension.select(key.alias("lookup_key"), F.col(value))
+        dimension.select(key.alias("lookup_key"), values.alias("values"))
         .where(F.col("lookup_key").isNotNull())
         .groupBy("lookup_key")
-        .agg(F.min(value).alias(value))
+        .agg(F.min("values").alias("values"))
+        .select("lookup_key", "values.*")
     )
 
 
-def attach(
-    records: DataFrame, key: Column, dimension: DataFrame, dimension_key: Column, value: str, name: str
-) -> DataFrame:
-    """Left join that adds the dimension's ``value`` as ``name``; unmatched records keep a null.
+def join_lookup(records: DataFrame, key: Column, lookup: DataFrame) -> DataFrame:
+    """Left join of records to a lookup; unmatched records keep nulls.
 
-    No broadcast is forced: below ``spark.sql.autoBroadcastJoinThreshold`` Spark broadcasts the
-    lookup by its measured size, above it the join is a sort-merge join whose skewed record side
-    adaptive execution splits.
+    The lookup is counted first, up to the limit. Below it, it is broadcast, and the records stay
+    where they are. That is not left to the optimizer, which judges a filtered and grouped table
+    by the size of the whole, and would exchange the records before it knew better. Above it, both
+    sides are sorted and adaptive execution splits skewed keys of the records.
     """
-    lookup = unique_lookup(dimension, dimension_key, value).withColumnRenamed(value, name)
+    if lookup.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        lookup = F.broadcast(lookup)
     return records.join(lookup, key == F.col("lookup_key"), "left").drop("lookup_key")
 
 
+def attach(
+    records: DataFrame,
+    key: Column,
+    dimension: DataFrame,
+    dimension_key: Column,
+    columns: Mapping[str, str],
+) -> DataFrame:
+    """Adds ``{name: dimension column}`` to the records by key."""
+    return join_lookup(records, key, unique_lookup(dimension, dimension_key, columns))
+
+
 def city_rows(location: DataFrame) -> DataFrame:
     """The municipalities of a location table; facility addresses have no county."""
     return location.where(F.col("county").isNotNull())
@@ -46,20 +66,13 @@ def facility_rows(location: DataFrame) -> DataFrame:
 def attach_city(records: DataFrame, location: DataFrame, code: str = "CODMUNRES") -> DataFrame:
     """``location_id_city`` by the first six digits of the seven-digit municipality code."""
     six_digits = F.substring("location_source_value", 1, 6)
-    return attach(
-        records, F.col(code), city_rows(location), six_digits, "location_id", "location_id_city"
-    )
+    columns = {"location_id_city": "location_id"}
+    return attach(records, F.col(code), city_rows(location), six_digits, columns)
 
 
 def attach_care_site(
     records: DataFrame, care_site: DataFrame, code: str = "CODESTAB"
 ) -> DataFrame:
     """``care_site_id`` by facility code."""
-    return attach(
-        records,
-        F.col(code),
-        care_site,
-        F.col("care_site_source_value"),
-        "care_site_id",
-        "care_site_id",
-    )
+    columns = {"care_site_id": "care_site_id"}
+    return attach(records, F.col(code), care_site, F.col("care_site_source_value"), columns)

@@ -51,15 +51,9 @@ def conform_climate(climate: DataFrame, location: DataFrame) -> DataFrame:
     Everything is bound by name, the pollutants too.
     """
     schema = table_schema("datasus_climate")
-    cities = city_rows(location)
+    columns = {"location_id": "location_id", "city_name": "city", "city_state": "county"}
     code = F.col("location_source_value")
-    frame = attach(climate, F.col("code_muni"), cities, code, "location_id", "location_id")
-    names = cities.select(
-        F.col("location_id").alias("city_id"),
-        F.col("city").alias("city_name"),
-        F.col("county").alias("city_state"),
-    )
-    frame = frame.join(names, F.col("location_id") == F.col("city_id"), "left")
+    frame = attach(climate, F.col("code_muni"), city_rows(location), code, columns)
     listed = lookups.states(climate.sparkSession).select(
         F.col("state_code").alias("listed_code"),
         F.col("state_name").alias("listed_name"),

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from vitalspan.functions.clean import VOCABULARY_DATE, plain_code, source_date
 from vitalspan.operators.conform import conform
 from vitalspan.operators.contract import split_complete
+from vitalspan.operators.lookup import attach
 from vitalspan.schemas import required_columns, table_schema
 from vitalspan.sources.files import CORRUPT, read_typed_delimited
 
@@ -76,15 +77,11 @@ def code_to_concept(
 ) -> DataFrame:
     """Adds ``concept_id`` of a source code, dots ignored; unknown codes keep a null.
 
-    One concept per code (the lowest), so no record is multiplied. The join is left to Spark:
-    by size it broadcasts the concepts or sorts both sides and splits skewed codes.
+    One concept per code (the lowest), so no record is multiplied.
     """
     if vocabulary_id is not None:
         concept = concept.where(F.col("vocabulary_id") == vocabulary_id)
-    lookup = (
-        concept.groupBy(plain_code(F.col("concept_code")).alias("plain_concept_code"))
-        .agg(F.min("concept_id").alias("concept_id"))
+    known = plain_code(F.col("concept_code"))
+    return attach(
+        records, plain_code(F.col(code)), concept, known, {"concept_id": "concept_id"}
     )
-    return records.join(
-        lookup, plain_code(F.col(code)) == F.col("plain_concept_code"), "left"
-    ).drop("plain_concept_code")
