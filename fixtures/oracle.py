@@ -612,6 +612,20 @@ FROM supplier""",
   100 + {_SUPPLIER_RANK} AS location_id, {_SUPPLIER_CODE} AS care_site_source_value,
   {_nulls("BIGINT", "place_of_service_concept_id")},
   {_nulls("VARCHAR", "place_of_service_source_value")} FROM supplier""",
+        "dim_provider": f"""WITH held AS (
+  SELECT s_suppkey + 3 AS provider_id, s_name AS provider_name, NULL::BIGINT AS concept,
+    NULL::VARCHAR AS label, NULL::BIGINT AS code FROM supplier),
+fixed (provider_id, provider_name, concept, label, code) AS (VALUES
+  (1::BIGINT, NULL::VARCHAR, 4206451::BIGINT, 'Médico', 1::BIGINT),
+  (2, NULL, 32581, 'Enfermeira/obstetriz', 2), (3, NULL, 40561317, 'Parteira', 3),
+  (4, NULL, 3245354, 'Outros', 4), (5, NULL, 3400510, 'Ignorado', 9))
+SELECT provider_id, provider_name, concept AS specialty_concept_id,
+  label AS specialty_source_value, code AS specialty_source_concept_id,
+  {_nulls("VARCHAR", "npi", "dea", "provider_source_value", "gender_source_value")},
+  {_nulls("BIGINT", "care_site_id", "gender_concept_id", "gender_source_concept_id")},
+  {_nulls("INTEGER", "year_of_birth")}
+FROM (SELECT * FROM held UNION ALL
+  SELECT * FROM fixed WHERE provider_id NOT IN (SELECT provider_id FROM held))""",
         "dim_rowkind": f"""SELECT 'city' AS kind, {U("n_nationkey")} AS state, count(*) AS rows
 FROM nation GROUP BY 2
 UNION ALL SELECT 'facility', {U("s_nationkey")}, count(*) FROM supplier GROUP BY 2""",

@@ -19,6 +19,7 @@ from vitalspan.functions.rates import (
     band_ordinal,
     rate_per_thousand,
 )
+from vitalspan.operators.conform import conform
 from vitalspan.operators.contract import violations
 from vitalspan.operators.keys import assign_keys, assign_keys_by_position
 from vitalspan.operators.lookup import attach_city, city_rows, facility_rows
@@ -124,23 +125,17 @@ def _located_deaths(spark: SparkSession, sf_dir: str, location: DataFrame) -> Da
 
 @query("mortality_rates_of_model")
 def mortality_rates_of_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report over stored person, extension and death tables."""
+    """The report over person, extension, death and location tables."""
     location = adapters.city_dimension(spark, sf_dir)
     care_site = adapters.care_site_dimension(spark, sf_dir)
     born = _keyed_births(spark, sf_dir)
     # keys of deaths start where no birth reaches
     died = _keyed_deaths(spark, sf_dir, start=1 << 40)
-    store = TableStore(spark, f"vitalspan_{uuid.uuid4().hex[:12]}", scratch_path(spark, "store"))
-    store.append(births.person(born, location, care_site), "person")
-    store.append(deaths.person(died, location, care_site), "person")
-    store.append(born.select("person_id"), "datasus_person")
-    store.append(deaths.death(died), "death")
+    person = births.person(born, location, care_site).unionByName(
+        deaths.person(died, location, care_site)
+    )
     return mortality.mortality_rates_of_model(
-        store.read("person"),
-        store.read("datasus_person"),
-        store.read("death"),
-        location,
-        REPORT_YEAR,
+        person, born.select("person_id"), deaths.death(died), location, REPORT_YEAR
     )
 
 
@@ -362,6 +357,17 @@ def dim_care_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("dim_provider")
+def dim_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Providers out of suppliers, and of the fixed ones those whose key is still free."""
+    held = conform(
+        adapters.table(spark, sf_dir, "supplier"),
+        table_schema("provider"),
+        {"provider_id": "s_suppkey + 3", "provider_name": "s_name"},
+    )
+    return held.unionByName(new_rows(dimensions.seed_providers(spark), held, ["provider_id"]))
+
+
 @query("dim_rowkind")
 def dim_rowkind(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per state of the two kinds of locations, told apart by their county."""
