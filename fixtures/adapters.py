@@ -2,8 +2,9 @@
 
 The text of births and deaths is shared with the DuckDB side; only the functions named in
 ``Dialect`` differ. All three tables grow with the data, so none of them is broadcast (DuckDB
-reads the hint as a comment). Every row of ``orders`` is a birth, every row of ``lineitem`` a death. Some
-values are bad on purpose: missing and impossible dates, odd clock times, several spellings.
+reads the hint as a comment). Every row of ``orders`` is a birth, every row of ``lineitem`` a
+death. Some values are bad on purpose: missing and impossible dates, odd clock times, several
+spellings.
 """
 
 from __future__ import annotations

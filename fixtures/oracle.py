@@ -470,7 +470,10 @@ def _grain(bucket: str) -> str:
   round(sum(value), 2) AS total, max(value) AS highest FROM events GROUP BY 1"""
 
 
-_SHIPPED = "l_shipdate::DATE::TIMESTAMP AS valid_start_date, TIMESTAMP '2099-12-31' AS valid_end_date"
+_SHIPPED = (
+    "l_shipdate::DATE::TIMESTAMP AS valid_start_date,"
+    " TIMESTAMP '2099-12-31' AS valid_end_date"
+)
 _VOCABULARY = {
     "concept": "SELECT p_partkey AS concept_id, p_name AS concept_name, p_type AS domain_id,"
     " p_brand AS vocabulary_id, 'Part' AS concept_class_id,"

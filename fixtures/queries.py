@@ -38,7 +38,7 @@ QUERIES: dict[str, Query] = {}
 
 def comparable(df: DataFrame) -> DataFrame:
     """Types that read the same in Spark and DuckDB: dates as text, times without zone, floating
-    values rounded. Lineage columns, which name local files and the time of the run, are left out."""
+    values rounded. Lineage columns name local files and the time of the run and are left out."""
     columns = []
     for field in df.schema.fields:
         column = F.col(field.name)

@@ -214,7 +214,8 @@ def test_seeds(spark):
 
 
 def climate_row(spark, **extra):
-    values = {"code_muni": "1200401", "code_state": "12", "abbrev_state": "AC", "date": "2010-01-01"}
+    values = {"code_muni": "1200401", "code_state": "12", "abbrev_state": "AC"}
+    values["date"] = "2010-01-01"
     for variable in ("TMIN", "TMAX", "PR", "ETo", "RH", "Rs", "u2"):
         for statistic in ("mean", "min", "max", "stdev"):
             values[f"{variable}_{statistic}"] = 1.0

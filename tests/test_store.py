@@ -43,6 +43,18 @@ def test_append_is_by_name_and_counts(spark, store):
     assert store.next_key("death", "person_id") == 8
 
 
+def test_a_null_in_a_required_column_fails_the_append(spark, store):
+    store.create("domain", TABLES["domain"])
+    rows = [("Drug", "Drug", 13), ("Gap", None, 14)]
+    frame = spark.createDataFrame(
+        rows, "domain_id string, domain_name string, domain_concept_id long"
+    )
+    with pytest.raises(Exception, match="required column domain_name is null"):
+        store.append(frame, "domain")
+    assert store.read("domain").isEmpty()
+    assert store.append(frame.where("domain_name is not null"), "domain") == 1
+
+
 def test_publish(spark, store, tmp_path):
     frame = spark.range(3).withColumn("x", F.lit(1.5))
     location = str(tmp_path / "published")
@@ -271,9 +283,9 @@ def test_files_that_arrive_are_loaded_once(spark, loaded, tmp_path):
             spark, str(folder), schema, take, str(tmp_path / "checkpoint"), files_per_batch=1
         ).awaitTermination()
 
-    birth_file(spark, folder / "2010" / "sinasc_2010.parquet", 2)
+    birth_file(spark, folder / "2010" / "births_2010.parquet", 2)
     arrive()
-    birth_file(spark, folder / "2011" / "sinasc_2011.parquet", 3)
+    birth_file(spark, folder / "2011" / "births_2011.parquet", 3)
     arrive()
     arrive()
     assert len(seen) == len(set(seen)) == 2

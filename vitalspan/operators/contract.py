@@ -23,6 +23,19 @@ def split_complete(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFr
     return accepted, rejected
 
 
+def enforce_required(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The same rows; a null in a required column fails the job that writes them."""
+
+    def column(name: str) -> Column:
+        if name not in required:
+            return F.col(name)
+        failure = F.raise_error(F.lit(f"required column {name} is null"))
+        return F.coalesce(F.col(name), failure.cast(df.schema[name].dataType)).alias(name)
+
+    required = set(required_columns(schema))
+    return df.select(*[column(name) for name in df.columns])
+
+
 def violations(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Null counts of the required columns, one row per column, from a single aggregate."""
     columns = [name for name in required_columns(schema) if name in df.columns]

@@ -86,7 +86,9 @@ def assign_keys_by_position(
     )
 
 
-def child_key(parent: Column, parent_start: int, width: int, position: Column, start: int) -> Column:
+def child_key(
+    parent: Column, parent_start: int, width: int, position: Column, start: int
+) -> Column:
     """Key of the ``position``-th of ``width`` children of a record with a dense key.
 
     Plain arithmetic: dense when the parent's key is, and free of any exchange.

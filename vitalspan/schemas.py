@@ -85,8 +85,8 @@ _TABLES = {
     " condition_source_value condition_source_concept_id condition_status_source_value",
     "drug_exposure": "drug_exposure_id! person_id! drug_concept_id! drug_exposure_start_date!"
     " drug_exposure_start_timestamp drug_exposure_end_date! drug_exposure_end_timestamp"
-    " verbatim_end_date drug_type_concept_id! stop_reason refills:int quantity:float days_supply:int"
-    f" sig route_concept_id lot_number {_VISIT} drug_source_value drug_source_concept_id"
+    " verbatim_end_date drug_type_concept_id! stop_reason refills:int quantity:float"
+    f" days_supply:int sig route_concept_id lot_number {_VISIT} drug_source_value drug_source_concept_id"
     " route_source_value dose_unit_source_value",
     "procedure_occurrence": "procedure_occurrence_id! person_id! procedure_concept_id!"
     " procedure_date! procedure_timestamp procedure_end_date procedure_end_timestamp"

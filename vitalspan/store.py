@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from vitalspan.operators.contract import enforce_required
 from vitalspan.operators.keys import next_key
 from vitalspan.schemas import TABLES
 from vitalspan.sources.files import read_text
@@ -75,7 +76,12 @@ class TableStore:
         return next_key(self.read(table), id_col, floor)
 
     def append(self, df: DataFrame, table: str) -> int:
-        """Appends by column name and returns the number of rows, counted during the write."""
+        """Appends by column name and returns the number of rows, counted during the write.
+
+        Nulls in required columns of a registered table fail the write as a whole.
+        """
+        if table in TABLES:
+            df = enforce_required(df, TABLES[table])
         counter = Observation()
         observed = df.observe(counter, F.count(F.lit(1)).alias("rows"))
         observed.write.mode("append").format("parquet").saveAsTable(self.name(table))
