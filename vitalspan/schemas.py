@@ -86,8 +86,8 @@ _TABLES = {
     "drug_exposure": "drug_exposure_id! person_id! drug_concept_id! drug_exposure_start_date!"
     " drug_exposure_start_timestamp drug_exposure_end_date! drug_exposure_end_timestamp"
     " verbatim_end_date drug_type_concept_id! stop_reason refills:int quantity:float"
-    f" days_supply:int sig route_concept_id lot_number {_VISIT} drug_source_value drug_source_concept_id"
-    " route_source_value dose_unit_source_value",
+    f" days_supply:int sig route_concept_id lot_number {_VISIT} drug_source_value"
+    " drug_source_concept_id route_source_value dose_unit_source_value",
     "procedure_occurrence": "procedure_occurrence_id! person_id! procedure_concept_id!"
     " procedure_date! procedure_timestamp procedure_end_date procedure_end_timestamp"
     f" procedure_type_concept_id! modifier_concept_id quantity:int {_VISIT}"
