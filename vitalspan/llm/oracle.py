@@ -81,4 +81,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b JOIN verdicts USING (doc_id)
 """
 
-STATEMENTS = {"op2_quality_rules": QUALITY_RULES}
+PIVOT_INDEX = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
+    vec_id, score
+  FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+CHAT_FORMAT = """
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+    (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM rows
+), e AS (
+  SELECT *, lag(role) OVER o AS before,
+    length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')) AS role_chars,
+    length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')) AS text_chars
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+    AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (sum(text_chars + 13)
+    + coalesce(sum(role_chars + 7) FILTER (before IS DISTINCT FROM role), 0))::BIGINT
+    AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+STATEMENTS = {
+    "op2_quality_rules": QUALITY_RULES,
+    "op9_pivot_index": PIVOT_INDEX,
+    "op10_chat_format": CHAT_FORMAT,
+}
