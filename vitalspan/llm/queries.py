@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitalspan.llm import (
     chat_format,
+    pack_fit,
     pack_squares,
     pair_index_bpe,
     pivot_index,
     quality_qda,
     quality_rules,
+    trie_counts,
 )
 
 
@@ -26,6 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pack_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_fit.pack(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return pack_fit.digests(packed)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -43,6 +50,12 @@ def op6_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_counts.count_tokens(
+        _table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")
+    )
+
+
 def op8_pack_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_squares.pack(
         _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), with_ids=False
@@ -62,9 +75,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pack_fit": op1_pack_fit,
     "op2_quality_rules": op2_quality_rules,
     "op5_pair_index_bpe": op5_pair_index_bpe,
     "op6_quality_qda": op6_quality_qda,
+    "op7_trie_counts": op7_trie_counts,
     "op8_pack_squares": op8_pack_squares,
     "op9_pivot_index": op9_pivot_index,
     "op10_chat_format": op10_chat_format,
