@@ -2,15 +2,11 @@
 
 Texts with equal shingle sets form a class; one set of each class takes part. Every tree of the
 forest sorts the classes by its own sequence of MinHash values. In a sorted order, classes that
-share a prefix are adjacent; those that share the first values (``LEAST_DEPTH``) form a region. In a
-region of up to ``SMALL`` classes all are candidates of each other. In larger ones the depth adapts:
-the neighbours with the longest common prefix are taken first, from the nodes of each depth. What a
-large region, or one cut by a partition's end, has left over is compared in a second sweep, between
-components that the first has not connected, so no candidate is lost. Orders are range partitioned,
-so a hot region is spread over tasks.
-
-Candidates are pruned by set sizes, which is exact, and by 128 one-bit MinHashes at a bound that
-pairs at the threshold miss about once in a million. Every link is confirmed on the full sets.
+share a prefix are adjacent; those that share the first ``LEAST_DEPTH`` values form a region, in
+which neighbours with the longest common prefix are candidates, to a depth that adapts to the region
+(``regions.py``). Candidates are pruned by set sizes, which is exact, and by 128 one-bit MinHashes at
+a bound that pairs at the threshold miss about once in a million. Every link is confirmed on the full
+sets.
 
 A null, empty or blank text has an empty set and no links: its component is itself. A row without
 ``doc_id`` has no component and is kept. Rows that repeat an id have a component by their own text.
@@ -27,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitalspan.llm import regions
 from vitalspan.llm.common import batch, documents, importable, written
 from vitalspan.llm.components import components
 from vitalspan.llm.hashing import mixed
@@ -35,13 +32,10 @@ from vitalspan.llm.shingles import set_blocks, set_key
 #: Sorted orders, and values of 16 bits in each.
 TREES, DEPTH = 20, 8
 
-#: Values that neighbours share at least. At similarity 0.8 two sets share four values in at least
+#: Values that neighbours share at least, packed into one number. At similarity 0.8 two sets share four values in at least
 #: one of twenty orders but for 3 pairs in 100,000.
 LEAST_DEPTH = 4
 
-#: Classes of a region that are all compared, and neighbours taken in larger ones.
-SMALL, NEAREST, HEADS = 16, 3, 16
-
 #: Of 128 bits, so many agree. At similarity 0.8 they are 115 in the mean, and fewer than 98 once
 #: in a million.
 AGREEING = 98
@@ -64,7 +58,7 @@ def signatures(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each order's first and second four values as numbers, and 128 bits as two."""
-    four = values.reshape(len(values), TREES, 2, 4).astype(np.int64)
+    four = values.reshape(len(values), TREES, 2, LEAST_DEPTH).astype(np.int64)
     numbers = (four[..., 0] << 48) | (four[..., 1] << 32) | (four[..., 2] << 16) | four[..., 3]
     bits = np.packbits(values[:, :128] & 1, axis=1).view(np.int64)
     return numbers[..., 0], numbers[..., 1], bits
@@ -115,157 +109,6 @@ def described(docs: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _agreement(bits: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """How many of the 128 bits agree."""
-    return 128 - np.bitwise_count(bits ^ others).sum(axis=-1, dtype=np.int64)
-
-
-def _similar_sizes(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
-    return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-
-
-class _Region:
-    """Rows that share a tree and the first values, in sorted order."""
-
-    def __init__(self, lo: np.ndarray, k: np.ndarray, n: np.ndarray, bits: np.ndarray, percent: int):
-        self.lo, self.k, self.n, self.bits, self.percent = lo, k, n, bits, percent
-
-    def near(self, i: int | np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Those of ``others`` that may be linked with row ``i``, and their agreement."""
-        agree = _agreement(self.bits[i], self.bits[others])
-        fits = (agree >= AGREEING) & _similar_sizes(self.n[i], self.n[others], self.percent)
-        return others[fits], agree[fits]
-
-    def all_pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        i, j = np.triu_indices(len(self.k), 1)
-        fits = (_agreement(self.bits[i], self.bits[j]) >= AGREEING) & _similar_sizes(
-            self.n[i], self.n[j], self.percent
-        )
-        return self.k[i[fits]], self.k[j[fits]]
-
-    def nearest_pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each row with its nearest among the first rows of the nodes it lies in, deepest first."""
-        heads: list[list[int]] = [[] for _ in range(DEPTH - LEAST_DEPTH + 1)]
-        same = self.lo[1:] ^ self.lo[:-1]
-        a, b = [], []
-        for i in range(len(self.k)):
-            if i:
-                # of the second four values, those that this row shares with the one before
-                differing = int(same[i - 1]) % (1 << 64)
-                shared = (64 - differing.bit_length()) // 16
-                for depth in range(shared + 1, len(heads)):
-                    heads[depth] = []
-                others = np.unique(np.array([i - 1, *(h for d in heads for h in d)]))
-                found, agree = self.near(i, others)
-                best = found[np.argsort(-agree, kind="stable")[:NEAREST]]
-                a += [self.k[i]] * len(best)
-                b += self.k[best].tolist()
-            for node in heads:
-                if len(node) < HEADS:
-                    node.append(i)
-        return np.array(a, np.int64), np.array(b, np.int64)
-
-
-SCANNED = (
-    "left_over boolean, a long, b long, tree int, hi long, k long, n long, b0 long, b1 long"
-)
-
-
-def _scan(percent: int) -> Callable:
-    schema = pa.schema(
-        [("left_over", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()),
-         ("hi", pa.int64()), ("k", pa.int64()), ("n", pa.int64()), ("b0", pa.int64()),
-         ("b1", pa.int64())]
-    )
-
-    def pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        none = [pa.nulls(len(a), f.type) for f in list(schema)[3:]]
-        return batch(schema, [np.zeros(len(a), bool), np.minimum(a, b), np.maximum(a, b), *none])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
-        opening = True  # the first region may have begun in another partition
-
-        def regions(rows: list[np.ndarray], closing: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal opening
-            tree, hi, lo, k, n, b0, b1 = rows
-            bits = np.stack((b0, b1), axis=1).view(np.uint64)
-            cut = np.flatnonzero((hi[1:] != hi[:-1]) | (tree[1:] != tree[:-1])) + 1
-            starts = np.concatenate(([0], cut))
-            sizes = np.diff(np.append(starts, len(hi)))
-            edge = np.zeros(len(starts), bool)
-            edge[0], edge[-1] = opening, closing
-            opening = False
-            left = np.repeat(edge | (sizes > SMALL), sizes)
-            two = starts[sizes == 2]
-            fits = (_agreement(bits[two], bits[two + 1]) >= AGREEING) & _similar_sizes(
-                n[two], n[two + 1], percent
-            )
-            found = [(k[two[fits]], k[two[fits] + 1])]
-            for s, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                part = slice(s, s + size)
-                region = _Region(lo[part], k[part], n[part], bits[part], percent)
-                found.append(region.all_pairs() if size <= SMALL else region.nearest_pairs())
-            yield pairs(*(np.concatenate(x) for x in zip(*found)))
-            if left.any():
-                none = pa.nulls(int(left.sum()), pa.int64())
-                yield batch(
-                    schema, [np.ones(len(none), bool), none, none, tree[left], hi[left], k[left],
-                             n[left], b0[left], b1[left]]
-                )
-
-        for rows in batches:
-            if not len(rows):
-                continue
-            new = [c.to_numpy() for c in rows.columns]
-            held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
-            last = np.flatnonzero((held[1] != held[1][-1]) | (held[0] != held[0][-1]))
-            if len(last) and len(held[0]) > 1 << 16:
-                whole = int(last[-1]) + 1
-                yield from regions([x[:whole] for x in held], False)
-                held = [x[whole:] for x in held]
-        if held is not None:
-            yield from regions(held, True)
-
-    return run
-
-
-def _across(percent: int) -> Callable:
-    """Pairs of rows of one region that lie in different components."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region: tuple | None = None
-        rows: list[np.ndarray] = []
-
-        def compared() -> Iterator[pa.RecordBatch]:
-            root, k, n, b0, b1 = (np.concatenate(x) for x in zip(*rows))
-            whole = _Region(root, k, n, np.stack((b0, b1), axis=1).view(np.uint64), percent)
-            for i in range(1, len(k)):
-                others, _ = whole.near(i, np.flatnonzero(root[:i] != root[i]))
-                if len(others):
-                    same = np.full(len(others), k[i])
-                    yield batch(schema, [np.minimum(same, k[others]), np.maximum(same, k[others])])
-
-        for part in batches:
-            if not len(part):
-                continue
-            new = [c.to_numpy() for c in part.columns]
-            cut = np.flatnonzero((np.diff(new[1]) != 0) | (np.diff(new[0]) != 0)) + 1
-            bounds = [0, *cut.tolist(), len(part)]
-            for s, e in zip(bounds, bounds[1:]):
-                own = (new[0][s], new[1][s])
-                if own != region:
-                    if rows:
-                        yield from compared()
-                    region, rows = own, []
-                rows.append(np.stack([x[s:e] for x in new[2:]]))
-        if rows:
-            yield from compared()
-
-    return run
-
-
 def _confirmed(percent: int) -> Callable:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -313,43 +156,15 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int,
 
 
 def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed links between classes: enough to connect all that any candidate connects."""
+    """Confirmed links between classes."""
     rows = classes.select(F.posexplode("orders").alias("tree", "o"), "k", "n", "b0", "b1").select(
         "tree", "o.hi", "o.lo", "k", "n", "b0", "b1"
     )
-    order = ["tree", "hi", "lo", "k"]
-    scanned = written(
-        rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_scan(percent), SCANNED),
-        "forest",
-    )
-    first = written(scanned.filter("NOT left_over").select("a", "b").distinct(), "candidates")
-    found = written(confirmed(docs, classes, first, size, percent), "links")
-
-    # second sweep: large or cut regions that hold more than one component
-    roots = components(found)
-    rest = scanned.filter("left_over").select("tree", "hi", "k", "n", "b0", "b1")
-    rest = rest.join(roots, rest["k"] == roots["node"], "left").select(
-        "tree", "hi", F.coalesce("root", "k").alias("root"), "k", "n", "b0", "b1"
-    )
-    rest = written(rest, "left-over")
-    several = (
-        rest.groupBy("tree", "hi")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter("low <> high")
-        .select(F.col("tree").alias("t"), F.col("hi").alias("h"))
-    )
-    open_ = rest.join(several, (F.col("tree") == F.col("t")) & (F.col("hi") == F.col("h")), "left_semi")
-    across = (
-        open_.repartition("tree", "hi")
-        .sortWithinPartitions("tree", "hi", "root", "k")
-        .mapInArrow(_across(percent), "a long, b long")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+    return regions.links(
+        rows,
+        regions.Bounds(percent, AGREEING),
+        lambda pairs: confirmed(docs, classes, pairs, size, percent),
     )
-    second = written(across, "candidates")
-    if second.isEmpty():
-        return found
-    return found.unionByName(confirmed(docs, classes, second, size, percent))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

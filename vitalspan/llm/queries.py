@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitalspan.llm import (
     chat_format,
+    fuzzy_lines,
     lsh_forest,
     pack_fit,
     pack_squares,
@@ -45,6 +46,10 @@ def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.digests(_table(spark, sf_dir, "documents"))
+
+
 def op5_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_index_bpe.encode_and_decode(
         _table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), with_tokens=False
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_fit": op1_pack_fit,
     "op2_quality_rules": op2_quality_rules,
     "op3_lsh_forest": op3_lsh_forest,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_pair_index_bpe": op5_pair_index_bpe,
     "op6_quality_qda": op6_quality_qda,
     "op7_trie_counts": op7_trie_counts,
