@@ -341,6 +341,7 @@ def cut_pieces(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.nd
         return (np.zeros(0, np.int64),) * 3
     follows = np.zeros(n, bool)
     follows[:-1] = ~_BLANKISH[data[1:]]
+    follows[offsets[1:][offsets[1:] > 0] - 1] = False  # nothing follows the end of a text
     feed = (data == 10) & follows
     cut = ((data == 32) & follows) | feed
     cut[1:] |= feed[:-1]
