@@ -687,6 +687,41 @@ FROM lineitem LEFT JOIN (
                 "datasus_death": 1,
             },
         ),
+        "latest_table_partition": """WITH e AS (SELECT event_id,
+    CASE WHEN event_id % 50 <> 0 THEN date_trunc('day', ts)::TIMESTAMP END AS day,
+    CASE WHEN event_id % 7 <> 0 THEN event_type || ':1/a' END AS kind FROM events)
+SELECT * FROM e WHERE (day, kind) = (SELECT (day, kind) FROM e
+  WHERE day IS NOT NULL AND kind IS NOT NULL ORDER BY day DESC, kind DESC LIMIT 1)""",
+        "facilities_load": f"""SELECT {_SUPPLIER_CODE} AS care_site_source_value,
+  s_name AS care_site_name, concat_ws(' ', 'RUA ' || s_suppkey, (s_suppkey % 1000)::VARCHAR,
+    CASE WHEN s_suppkey % 3 <> 0 THEN 'SALA ' || (s_suppkey % 50) END) AS address_1,
+  {U("s_nationkey")} || lpad(s_nationkey::VARCHAR, 4, '0') AS city FROM supplier""",
+        "cities_load": f"""WITH raw AS (SELECT {U("n_nationkey")}
+    || lpad(n_nationkey::VARCHAR, 4, '0') || (n_nationkey % 10)::VARCHAR AS code FROM nation)
+SELECT 'loaded' AS outcome, code FROM raw
+UNION ALL SELECT 'rejected', '99' || substr(code, 3, 5) FROM raw""",
+        "climate_load": _with(CLIMATE, CITY)
+        + """SELECT code_muni AS city_code, city AS city_name, date::TIMESTAMP AS day
+FROM climate LEFT JOIN city ON code_muni = location_source_value
+UNION ALL SELECT DISTINCT NULL::VARCHAR, NULL::VARCHAR, date::TIMESTAMP FROM climate""",
+        "climate_flat_load": _with(CLIMATE)
+        + """SELECT code_muni, date::TIMESTAMP AS day FROM climate
+UNION ALL SELECT DISTINCT NULL::VARCHAR, date::TIMESTAMP FROM climate""",
+        "vocabulary_load": """SELECT 'concept' AS table_name, count(*) AS rows FROM part
+UNION ALL SELECT 'rejected', count(*) FROM part
+UNION ALL SELECT 'concept_class', count(DISTINCT p_type) FROM part
+UNION ALL SELECT 'concept_synonym', count(*) FROM part
+UNION ALL SELECT 'vocabulary', count(DISTINCT p_brand) FROM part
+UNION ALL SELECT 'domain', count(DISTINCT o_orderpriority) FROM orders
+UNION ALL SELECT 'relationship', count(DISTINCT (l_returnflag, l_linestatus)) FROM lineitem
+UNION ALL SELECT 'drug_strength', count(DISTINCT (l_partkey, l_suppkey, l_shipdate)) FROM lineitem
+UNION ALL SELECT 'concept_ancestor', count(DISTINCT (l_partkey, l_suppkey)) FROM lineitem
+UNION ALL SELECT 'concept_relationship', count(DISTINCT (l_partkey, l_suppkey, l_returnflag))
+FROM lineitem""",
+        "ddl_script": """SELECT 'a' AS name, 'x;--y' AS t, count(*) AS rows,
+  sum(o_orderkey)::BIGINT AS total FROM orders
+UNION ALL SELECT 'b', 'x;--y', count(*), sum(o_orderkey)::BIGINT FROM orders
+WHERE o_orderkey % 2 = 0""",
         "publish_table": _with(*BORN, CITY, BIRTHS_BY_STATE) + "SELECT * FROM births_by_state",
     }
     label1, ordinal1 = _band("rate", "<=", "11,1 - 13,1")

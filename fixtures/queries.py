@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -23,7 +24,7 @@ from vitalspan.operators.conform import conform
 from vitalspan.operators.contract import violations
 from vitalspan.operators.keys import assign_keys, assign_keys_by_position
 from vitalspan.operators.lookup import attach_city, city_rows, facility_rows
-from vitalspan.operators.partitions import latest_partition
+from vitalspan.operators.partitions import latest_partition, latest_table_partition
 from vitalspan.plans import births, climate, deaths, dimensions, load, mortality, summaries
 from vitalspan.plans import vocabulary
 from vitalspan.schemas import table_schema
@@ -306,9 +307,9 @@ def append_only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders up to 1999 are held; appending those from 1997 on adds only the later ones."""
     orders = adapters.table(spark, sf_dir, "orders")
     path = scratch_path(spark, "held")
-    orders.where(F.col("o_orderdate") < F.lit(dt.datetime(2000, 1, 1))).write.parquet(path)
+    orders.where(F.col("o_orderdate") < F.lit("2000-01-01")).write.parquet(path)
     held = read_parquet(spark, path, orders.schema)
-    arriving = orders.where(F.col("o_orderdate") >= F.lit(dt.datetime(1997, 1, 1)))
+    arriving = orders.where(F.col("o_orderdate") >= F.lit("1997-01-01"))
     both = held.unionByName(new_rows(arriving, held, ["o_orderkey"]))
     return both.groupBy(F.year("o_orderdate").alias("order_year")).agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("total")
@@ -467,6 +468,23 @@ def latest_partition_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_partition(spark.read.parquet(path), ["day"])
 
 
+@query("latest_table_partition")
+def latest_table_partition_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a catalog table, partitioned by moments and by texts that the catalog escapes,
+    some of each unknown."""
+    store = TableStore(spark, f"vitalspan_{uuid.uuid4().hex[:12]}", scratch_path(spark, "store"))
+    events = adapters.table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "case when event_id % 50 <> 0 then cast(date_trunc('day', ts) as timestamp) end as day",
+        "case when event_id % 7 <> 0 then event_type || ':1/a' end as kind",
+    )
+    name = store.name("events")
+    events.hint("rebalance", F.col("day")).write.partitionBy("day", "kind").saveAsTable(
+        name, format="parquet"
+    )
+    return latest_table_partition(spark, name)
+
+
 @query("browse_sample")
 def browse_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = adapters.table(spark, sf_dir, "orders")
@@ -528,7 +546,7 @@ def _register_vocabulary(name: str) -> None:
         folder = scratch_path(spark, "vocabulary")
         source = _vocabulary_source(spark, sf_dir, name)
         source.write.csv(f"{folder}/{name}.csv", sep="\t", header=True)
-        return vocabulary.read_vocabulary(spark, folder, name)[0]
+        return vocabulary.read_vocabulary(spark, f"{folder}/{name}.csv", name)[0]
 
     query(f"vocab_{name.lower()}")(run)
 
@@ -636,3 +654,141 @@ def publish_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = scratch_path(spark, "published")
     store.publish(result, "births_by_state", location)
     return store.publish(result, "births_by_state", location, if_exists="replace")
+
+
+def _facility_path(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "facilities")
+    frame = spark.sql(adapters.FACILITY_FILE, supplier=adapters.table(spark, sf_dir, "supplier"))
+    frame.write.csv(path, sep=";", header=True)
+    return path
+
+
+@query("facilities_load")
+def facilities_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facilities by the file's own header, loaded twice: each site with its address."""
+    store, path = _new_store(spark), _facility_path(spark, sf_dir)
+    load.load_facilities(store, path)
+    load.load_facilities(store, path)
+    sites = store.read("care_site").where(F.col("location_id").isNotNull())
+    places = store.read("location").drop("location_source_value")
+    joined = sites.join(places, "location_id")
+    return joined.select("care_site_source_value", "care_site_name", "address_1", "city")
+
+
+@query("cities_load")
+def cities_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Municipalities loaded twice, with one of an unknown state."""
+    store, path = _new_store(spark), scratch_path(spark, "cities")
+    cities = spark.sql(adapters.CITY_FILE, nation=adapters.table(spark, sf_dir, "nation"))
+    unknown = cities.select(
+        "OID_", "nome", F.concat(F.lit("99"), F.substring("geocodigo", 3, 5)).alias("geocodigo"),
+        "Longitude", "Latitude",
+    )
+    cities.unionByName(unknown).write.csv(path, sep=";", header=True)
+    load.load_cities(store, path)
+    load.load_cities(store, path)
+    return (
+        store.read("location")
+        .select(F.lit("loaded").alias("outcome"), F.col("location_source_value").alias("code"))
+        .unionByName(
+            store.read("rejected_cities").select(
+                F.lit("rejected").alias("outcome"), F.col("geocodigo").alias("code")
+            )
+        )
+    )
+
+
+def _climate_path(spark: SparkSession, sf_dir: str, flat: bool) -> str:
+    path = scratch_path(spark, "climate")
+    days = adapters.climate_file(spark, sf_dir)
+    if flat:
+        days = days.withColumns({c: F.lit(None).cast("string") for c in (
+            "name_state", "code_region", "name_region", "n_days_TN10p", "n_days_TX90p",
+            "n_days_TX_gd_35", "index_level_0__")})
+    # every day again, and a day without a city for each
+    nowhere = days.withColumn("code_muni", F.lit(None).cast("string"))
+    days.unionByName(days).unionByName(nowhere).write.parquet(path)
+    return path
+
+
+@query("climate_load")
+def climate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Climate days with repeats, loaded twice: one row of each city and day."""
+    store, path = _new_store(spark), _climate_path(spark, sf_dir, flat=False)
+    store.append(
+        conform(
+            adapters.city_dimension(spark, sf_dir),
+            table_schema("location"),
+            {c: c for c in ("location_id", "city", "county", "location_source_value")},
+        ),
+        "location",
+    )
+    load.load_climate(store, path)
+    load.load_climate(store, path)
+    loaded = store.read("datasus_climate")
+    return loaded.select("city_code", "city_name", F.col("measurement_date").alias("day"))
+
+
+@query("climate_flat_load")
+def climate_flat_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat layout, with repeats, loaded twice."""
+    store, path = _new_store(spark), _climate_path(spark, sf_dir, flat=True)
+    load.load_climate_flat(store, path)
+    load.load_climate_flat(store, path)
+    return store.read("clima_flat").select("code_muni", F.col("date").alias("day"))
+
+
+@query("vocabulary_load")
+def vocabulary_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vocabulary files, one below a folder, with quotes and lines that do not fit, twice."""
+    store, folder = _new_store(spark), scratch_path(spark, "download")
+    for name in VOCABULARY_SQL:
+        source = _vocabulary_source(spark, sf_dir, name)
+        if name == "CONCEPT":
+            # an opening quote in each name, and a line without the other columns for each concept
+            source = source.withColumn("concept_name", F.concat(F.lit('"'), "concept_name"))
+            texts = source.select(*[F.col(c).cast("string") for c in source.columns])
+            broken = texts.withColumns(
+                {c: F.concat(F.lit("x"), c) if c == "concept_id" else F.col(c) for c in texts.columns}
+            )
+            texts.unionByName(broken).write.csv(
+                f"{folder}/sub/CONCEPT.csv", sep="\t", header=True, quote="", escapeQuotes=False
+            )
+        else:
+            path = f"{folder}/{name}.csv"
+            source.write.csv(path, sep="\t", header=True, quote="", escapeQuotes=False)
+    load.load_vocabulary(store, folder)
+    load.load_vocabulary(store, folder)
+    tables = [
+        store.read(name.lower()).agg(
+            F.lit(name.lower()).alias("table_name"), F.count(F.lit(1)).alias("rows")
+        )
+        for name in VOCABULARY_SQL
+    ]
+    tables.append(
+        store.read("rejected_vocabulary").agg(
+            F.lit("rejected").alias("table_name"), F.count(F.lit(1)).alias("rows")
+        )
+    )
+    return functools.reduce(DataFrame.unionByName, tables)
+
+
+@query("ddl_script")
+def ddl_script(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables made and filled by a script with several statements on a line and odd semicolons."""
+    store = TableStore(spark, f"vitalspan_{uuid.uuid4().hex[:12]}", scratch_path(spark, "store"))
+    view = f"orders_{uuid.uuid4().hex[:8]}"
+    adapters.table(spark, sf_dir, "orders").createOrReplaceTempView(view)
+    script = scratch_path(spark, "script")
+    a, b = store.name("a"), store.name("b")
+    text = (
+        f"-- first; two tables\nCREATE TABLE {a} (k bigint, t string) USING parquet; "
+        f"CREATE TABLE {b} (k bigint, t string) USING parquet; -- both\nNONSENSE;\n"
+        f"INSERT INTO {a} SELECT o_orderkey, 'x;--y' FROM {view}; /* then; */ INSERT INTO {b} "
+        f"SELECT k, t FROM {a}\n WHERE k % 2 = 0"
+    )
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(script)
+    store.run_script(script)
+    both = store.read("a").select(F.lit("a").alias("name"), "k", "t")
+    both = both.unionByName(store.read("b").select(F.lit("b").alias("name"), "k", "t"))
+    return both.groupBy("name", "t").agg(F.count(F.lit(1)).alias("rows"), F.sum("k").alias("total"))

@@ -1,8 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vitalspan.operators import keys
-from vitalspan.operators.keys import assign_keys, assign_keys_by_position, child_key, next_key
+from vitalspan.operators.keys import (
+    assign_keys,
+    assign_keys_by_position,
+    child_key,
+    file_offsets,
+    next_key,
+)
 from vitalspan.sources.files import read_parquet, with_lineage
 
 
@@ -60,14 +65,15 @@ def test_keys_by_position(spark, tmp_path):
     )
 
 
-def test_keys_by_position_with_too_many_files_to_broadcast(spark, tmp_path, monkeypatch):
+def test_keys_by_position_with_stored_offsets(spark, tmp_path):
     path = str(tmp_path / "files")
     spark.range(0, 100, 1, 5).write.parquet(path)
     scan = with_lineage(read_parquet(spark, path))
-    small = assign_keys_by_position(scan, scan, "k").select("k", "id")
-    monkeypatch.setattr(keys, "MAX_BROADCAST_FILES", 2)
-    large = assign_keys_by_position(scan, scan, "k").select("k", "id")
-    assert small.exceptAll(large).isEmpty() and large.count() == 100
+    kept = scan.where("id % 3 <> 0")
+    offsets = F.broadcast(file_offsets(scan).select("key_file", "rows_before"))
+    whole = assign_keys_by_position(kept, scan, "k").select("k", "id")
+    stored = assign_keys_by_position(kept, scan, "k", offsets=offsets).select("k", "id")
+    assert whole.exceptAll(stored).isEmpty() and stored.count() == 66
 
 
 def test_child_keys_are_dense(spark):

@@ -8,7 +8,7 @@ from vitalspan.operators.partitions import latest_partition, latest_table_partit
 from vitalspan.plans import births, load, summaries
 from vitalspan.schemas import TABLES
 from vitalspan.sources.files import read_folder, with_lineage
-from vitalspan.store import TableStore, export_jdbc
+from vitalspan.store import TableStore, export_jdbc, split_statements
 from vitalspan.streaming.folder import load_arrivals
 
 
@@ -66,6 +66,32 @@ def test_publish(spark, store, tmp_path):
         store.publish(frame, "result", location, if_exists="append")
 
 
+def test_a_published_result_may_read_the_table_it_replaces(spark, store, tmp_path):
+    location = str(tmp_path / "published")
+    store.publish(spark.range(3), "result", location)
+    more = store.read("result").unionAll(spark.range(5, 7).toDF("id"))
+    assert store.publish(more, "result", location, if_exists="replace").count() == 5
+    broken = store.read("result").select(F.raise_error(F.lit("broken")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        store.publish(broken, "result", location, if_exists="replace")
+    assert store.read("result").count() == 5
+
+
+def test_append_new_takes_nulls_and_repeats_once(spark, store):
+    frame = spark.createDataFrame(
+        [(None, 1, "b"), (None, 1, "a"), (2, None, "c"), (2, 3, None), (2, 3, "d")],
+        "a long, b long, c string",
+    )
+    store.create("t", frame.schema)
+    assert store.append_new(frame, "t", ["a", "b"]) == 3
+    assert store.append_new(frame, "t", ["a", "b"]) == 0
+
+
+def test_statements_end_outside_quotes_and_comments():
+    text = "a 'x;''y'; b -- c;\n; /* d; */ e `f;g`;; \"h\\\";\" ;\n-- last"
+    assert split_statements(text) == ["a 'x;''y'", "b", "e `f;g`", '"h\\";"']
+
+
 def test_replace(spark, store):
     store.replace(spark.range(3), "numbers")
     store.replace(spark.range(2), "numbers")
@@ -269,6 +295,99 @@ def test_vocabulary_load(spark, loaded, tmp_path):
     assert load.load_vocabulary(loaded, str(tmp_path)) == {"concept_synonym": 0, "domain": 0}
 
 
+def test_vocabulary_load_keeps_every_line(spark, loaded, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "DOMAIN.csv").write_text(
+        "domain_id\tdomain_name\tdomain_concept_id\nDrug\t\"Drug\t13\nX\tY\tnone\nB\tZ\t4\n"
+    )
+    strength = "drug_concept_id\tingredient_concept_id"
+    for name in ("amount_value", "amount_unit_concept_id", "numerator_value",
+                 "numerator_unit_concept_id", "denominator_value", "denominator_unit_concept_id",
+                 "box_size", "valid_start_date", "valid_end_date", "invalid_reason"):
+        strength += "\t" + name
+    row = "\n1\t2\t\t\t\t\t\t\t\t{}\t20991231\t"
+    (tmp_path / "DRUG_STRENGTH.csv").write_text(
+        strength + row.format("20000101") + row.format("20100101") + "\n"
+    )
+    for expected in ({"domain": 2, "drug_strength": 2}, {"domain": 0, "drug_strength": 0}):
+        assert load.load_vocabulary(loaded, str(tmp_path)) == expected
+        assert loaded.read("rejected_vocabulary").count() == 1
+    assert '"Drug' in {r.domain_name for r in loaded.read("domain").collect()}
+
+
+def test_a_facility_load_that_broke_off_is_completed(spark, loaded, tmp_path, monkeypatch):
+    from vitalspan.plans import dimensions
+
+    path = str(tmp_path / "sites.csv")
+    header = "CO_CNES;NO_RAZAO_SOCIAL;NO_LOGRADOURO;NU_ENDERECO;NO_COMPLEMENTO;NO_BAIRRO;CO_MUNICIPIO_GESTOR"
+    header += ";CO_ESTADO_GESTOR;CO_CEP;NU_LATITUDE;NU_LONGITUDE;MORE"
+    rows = [f"{i:07};SITE {i};RUA {i};1;;B;120013;12;1;-9.8;1;x" for i in range(3)]
+    (tmp_path / "sites.csv").write_text("\n".join([header, *rows]) + "\n")
+    right = dimensions.care_sites
+    monkeypatch.setattr(dimensions, "care_sites", lambda k, start, place=1: right(k, start, place)
+                        if not isinstance(place, int) else (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        load.load_facilities(loaded, path)
+    monkeypatch.setattr(dimensions, "care_sites", right)
+    assert load.load_facilities(loaded, path)["care_site"] == 3
+    sites = loaded.read("care_site").where("care_site_name like 'SITE%'")
+    places = loaded.read("location").where("address_1 like 'RUA%'")
+    assert places.count() == 3
+    pairs = sites.join(places, "location_id").select("care_site_source_value", "location_source_value")
+    assert all(a == b for a, b in pairs.collect()) and pairs.count() == 3
+
+
+def test_batches_of_few_files_have_the_keys_of_one(spark, store, loaded, tmp_path, monkeypatch):
+    """Records of files, some dropped, are numbered the same in one batch and in many."""
+    from vitalspan.plans.load import _batches
+    from vitalspan.operators.keys import assign_keys_by_position
+    from vitalspan.plans import load as loads
+
+    path = str(tmp_path / "many")
+    spark.range(0, 100, 1, 7).write.parquet(path)
+    target = {"person": loads.Target("person_id", 1, None)}
+    seen = []
+    for limit, system in ((100, 1), (2, 2)):
+        monkeypatch.setattr(loads, "FILES_PER_BATCH", limit)
+        keys = {}
+        batches = 0
+        for batch in _batches(loaded, system, path, lambda scan: target):
+            batches += 1
+            kept = batch.scan.where("id % 3 <> 0")
+            first = batch.keys["person"][0]
+            keyed = assign_keys_by_position(kept, batch.scan, "k", first, batch.offsets)
+            keys.update({r.id: r.k for r in keyed.select("id", "k").collect()})
+        low = min(keys.values())
+        seen.append({i: k - low for i, k in keys.items()})
+        assert batches == (1 if limit == 100 else 4)
+    assert seen[0] == seen[1] and len(seen[0]) == 66
+
+
+def test_year_slices_do_not_depend_on_the_zone_of_the_process(spark):
+    import os
+    import time
+
+    from vitalspan.functions.clean import in_year
+
+    moments = ["2018-12-31 23:30:00", "2019-01-01 00:30:00", "2019-12-31 23:59:59", "2020-01-01 01:00:00"]
+    frame = spark.createDataFrame([(m,) for m in moments], "m string").selectExpr(
+        "m", "cast(m as timestamp) as t", "cast(m as timestamp_ntz) as n", "cast(m as date) as d"
+    )
+    before = os.environ.get("TZ")
+    try:
+        os.environ["TZ"] = "America/Sao_Paulo"
+        time.tzset()
+        for column in ("t", "n", "d"):
+            got = {r.m for r in frame.where(in_year(F.col(column), 2019)).select("m").collect()}
+            assert got == set(moments[1:3])
+            start, end = dt.datetime(2019, 1, 1), dt.datetime(2020, 1, 1)
+            got = summaries.time_filter(frame, column, start, end).select("m").collect()
+            assert {r.m for r in got} == set(moments[1:3])
+    finally:
+        os.environ.pop("TZ") if before is None else os.environ.update(TZ=before)
+        time.tzset()
+
+
 def test_files_that_arrive_are_loaded_once(spark, loaded, tmp_path):
     folder = tmp_path / "arrivals"
     seen = []

@@ -6,7 +6,6 @@ that does not convert becomes null and is dealt with by the row contract, not by
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,8 +80,12 @@ def plain_code(code: Column) -> Column:
 
 
 def in_year(ts: Column, year: int) -> Column:
-    """Year slice as a half-open range, which parquet statistics and partitions can use."""
-    return (ts >= F.lit(dt.datetime(year, 1, 1))) & (ts < F.lit(dt.datetime(year + 1, 1, 1)))
+    """Year slice as a half-open range, which parquet statistics and partitions can use.
+
+    The bounds are text that Spark reads in the column's type and the session's zone. A Python
+    moment would be read in the zone of the driver's process.
+    """
+    return (ts >= F.lit(f"{year:04}-01-01")) & (ts < F.lit(f"{year + 1:04}-01-01"))
 
 
 def age_in_days(event: Column, birth: Column) -> Column:

@@ -10,12 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalspan.session import scratch_path
-
-# Offsets are broadcast up to this many files (about 200 bytes each, so some 20 MB); beyond it
-# the sorted way is used.
-MAX_BROADCAST_FILES = 100_000
-
+from vitalspan.session import delete_at_exit, scratch_path
 
 def next_key(table: DataFrame, id_col: str, floor: int = 1) -> int:
     """The first free key of a table at or above ``floor``; ``floor`` itself for an empty one."""
@@ -24,11 +19,22 @@ def next_key(table: DataFrame, id_col: str, floor: int = 1) -> int:
 
 
 def _running_offsets(sizes: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Rows before each file. One row per file, not per record, so one task is enough."""
+    """Rows of each file and before it. One row per file, not per record, so one task is enough."""
     before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(
-        "key_file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before")
+        "key_file", "rows", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before")
+    )
+
+
+def file_offsets(scan: DataFrame) -> DataFrame:
+    """``key_file``, ``rows`` and ``rows_before`` of the files of a scan with lineage, in path order.
+
+    The counts come from file footers.
+    """
+    sizes = scan.groupBy(F.col("source_file").alias("key_file")).agg(
+        F.count(F.lit(1)).alias("rows")
     )
+    return _running_offsets(sizes, [F.col("key_file")])
 
 
 def assign_keys(
@@ -55,9 +61,12 @@ def assign_keys(
     )
     sizes = placed.groupBy("key_file").agg(F.count(F.lit(1)).alias("rows"))
     part = F.regexp_extract("key_file", r"part-(\d+)", 1).cast("int")
-    offsets = _running_offsets(sizes, [part, F.col("key_file")])
-    # one row per file that the sort wrote
-    keyed = placed.join(F.broadcast(offsets), "key_file")
+    offsets = _running_offsets(sizes, [part, F.col("key_file")]).drop("rows")
+    # one row per file that the sort wrote; as a stored table its size is known to the planner
+    table = scratch_path(spark, "offsets")
+    offsets.write.parquet(table)
+    delete_at_exit(spark, path, table)
+    keyed = placed.join(spark.read.schema(offsets.schema).parquet(table), "key_file")
     return keyed.select(
         (F.lit(start) + F.col("rows_before") + F.col("key_row")).cast("long").alias(id_col),
         *df.columns,
@@ -65,21 +74,22 @@ def assign_keys(
 
 
 def assign_keys_by_position(
-    records: DataFrame, scan: DataFrame, id_col: str, start: int = 1
+    records: DataFrame,
+    scan: DataFrame,
+    id_col: str,
+    start: int = 1,
+    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``id_col`` = ``start`` + position of the record in the scanned files, in path order.
 
     ``scan`` is the frame as read, ``records`` whatever was made of it, with the lineage columns
-    ``source_file`` and ``source_row``. Nothing is sorted, exchanged or written. Keys are dense
-    over the files; a record that was filtered out leaves its number unused.
+    ``source_file`` and ``source_row``. Records are not sorted. Keys are dense over the files; a
+    record that was filtered out leaves its number unused. ``offsets`` are those of
+    ``file_offsets``, if they are at hand; the caller may mark them for broadcast where it bounds
+    the number of files.
     """
-    if len(scan.inputFiles()) > MAX_BROADCAST_FILES:
-        return assign_keys(records, id_col, ["source_file", "source_row"], start)
-    sizes = scan.groupBy(F.col("source_file").alias("key_file")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    offsets = _running_offsets(sizes, [F.col("key_file")])
-    keyed = records.join(F.broadcast(offsets), F.col("source_file") == F.col("key_file"))
+    offsets = file_offsets(scan) if offsets is None else offsets
+    keyed = records.join(offsets, F.col("source_file") == F.col("key_file"))
     return keyed.select(
         (F.lit(start) + F.col("rows_before") + F.col("source_row")).cast("long").alias(id_col),
         *records.columns,

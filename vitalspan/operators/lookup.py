@@ -32,12 +32,12 @@ def unique_lookup(dimension: DataFrame, key: Column, columns: Mapping[str, str])
 def join_lookup(records: DataFrame, key: Column, lookup: DataFrame) -> DataFrame:
     """Left join of records to a lookup; unmatched records keep nulls.
 
-    The lookup is counted first, up to the limit. Below it, it is broadcast, and the records stay
+    The lookup is counted first. Up to the limit, it is broadcast, and the records stay
     where they are. That is not left to the optimizer, which judges a filtered and grouped table
     by the size of the whole, and would exchange the records before it knew better. Above it, both
     sides are sorted and adaptive execution splits skewed keys of the records.
     """
-    if lookup.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+    if lookup.count() <= MAX_BROADCAST_ROWS:
         lookup = F.broadcast(lookup)
     return records.join(lookup, key == F.col("lookup_key"), "left").drop("lookup_key")
 

@@ -5,25 +5,32 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
-def latest_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def latest_partition(
+    df: DataFrame, columns: Sequence[str], compared: Sequence[str] | None = None
+) -> DataFrame:
     """Rows of the greatest partition, compared column by column in the columns' own types.
 
     The greatest values come from a scalar subquery over the partition columns alone, which
-    reads no data pages; its result prunes the partitions of the outer scan.
+    reads no data pages; its result prunes the partitions of the outer scan. Partitions with a
+    null are not looked at. ``compared`` are the columns that rows are held against, all unless
+    given.
     """
     spark = df.sparkSession
-    greatest = f"SELECT max(struct({', '.join(columns)})) AS top FROM {{df}}"
-    condition = " AND ".join(f"{c} = (SELECT top.{c} FROM ({greatest}))" for c in columns)
+    known = " AND ".join(f"`{c}` IS NOT NULL" for c in columns)
+    names = ", ".join(f"`{c}`" for c in columns)
+    greatest = f"SELECT max(struct({names})) AS top FROM {{df}} WHERE {known}"
+    condition = " AND ".join(
+        f"`{c}` = (SELECT top.`{c}` FROM ({greatest}))" for c in compared or columns
+    )
     return spark.sql(f"SELECT * FROM {{df}} WHERE {condition}", df=df)
 
 
 def latest_table_partition(
     spark: SparkSession, table: str, projection: Sequence[str] | None = None
 ) -> DataFrame:
-    """Rows of the latest partition of a catalog table, found in the catalog without a scan.
+    """Rows of the latest partition of a catalog table.
 
     A table without partitions, or a projection without its partition columns, is not filtered.
     """
@@ -31,15 +38,4 @@ def latest_table_partition(
     columns = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     selected = list(projection or df.columns)
     kept = [c for c in columns if c in selected]
-    if not kept:
-        return df.select(*selected)
-    spec = F.col("partition")
-    typed = [
-        F.regexp_extract(spec, f"(?:^|/){c}=([^/]*)", 1).try_cast(df.schema[c].dataType).alias(c)
-        for c in columns
-    ]
-    listed = spark.sql(f"SHOW PARTITIONS {table}").select(F.struct(*typed).alias("spec"))
-    top = listed.agg(F.max("spec").alias("top")).first().top
-    for name in kept if top is not None else ():
-        df = df.where(F.col(name) == F.lit(top[name]))
-    return df.select(*selected)
+    return (latest_partition(df, columns, kept) if kept else df).select(*selected)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalspan import lookups
+from vitalspan.functions.clean import number
 from vitalspan.operators.conform import conform
 from vitalspan.operators.lookup import attach, city_rows
 from vitalspan.schemas import CLIMATE_STATISTICS, CLIMATE_VARIABLES, POLLUTANTS, table_schema
@@ -69,7 +70,7 @@ def conform_climate(climate: DataFrame, location: DataFrame) -> DataFrame:
         "state_abbreviation": F.col("abbrev_state"),
         "state_name": F.coalesce(_optional(climate, "name_state"), "listed_name"),
         "region_code": F.coalesce(
-            _optional(climate, "code_region").cast("float"),
+            number(_optional(climate, "code_region").cast("string"), "float"),
             F.col("listed_region_code").cast("float"),
         ),
         "region_name": F.coalesce(_optional(climate, "name_region"), "listed_region"),

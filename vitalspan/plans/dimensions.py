@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalspan import lookups
@@ -46,6 +46,14 @@ def city_locations(raw: DataFrame, start: int = 1) -> DataFrame:
     )
 
 
+def cities_of_unknown_states(raw: DataFrame) -> DataFrame:
+    """Municipalities that ``city_locations`` leaves out, with the line they came from."""
+    states = lookups.states(raw.sparkSession).select("state_code")
+    code = F.substring("geocodigo", 1, 2)
+    unknown = raw.withColumn("state_code", code).join(F.broadcast(states), "state_code", "left_anti")
+    return unknown.select("geocodigo", "nome", "Latitude", "Longitude")
+
+
 def keyed_facilities(raw: DataFrame) -> DataFrame:
     """Facility records with ``facility_rank`` (from 0) in the order of their code.
 
@@ -92,15 +100,22 @@ def facility_locations(keyed: DataFrame, start: int = 1) -> DataFrame:
     )
 
 
-def care_sites(keyed: DataFrame, start: int = 1, location_start: int = 1) -> DataFrame:
-    """``care_site`` rows of facilities."""
+def care_sites(
+    keyed: DataFrame, start: int = 1, location: int | Column = 1
+) -> DataFrame:
+    """``care_site`` rows of facilities.
+
+    ``location`` is the key of the first facility's address, or a column with each one's.
+    """
+    if not isinstance(location, Column):
+        location = F.col("facility_rank") + F.lit(location)
     return conform(
         keyed,
         table_schema("care_site"),
         {
             "care_site_id": F.col("facility_rank") + F.lit(start),
             "care_site_name": F.col("NO_RAZAO_SOCIAL"),
-            "location_id": F.col("facility_rank") + F.lit(location_start),
+            "location_id": location,
             "care_site_source_value": F.col("CO_CNES"),
         },
     )

@@ -27,9 +27,8 @@ def browse(df: DataFrame, column: str | None = None, rows: int = 1000) -> DataFr
 
 
 def _typed_literal(df: DataFrame, column: str, moment: dt.datetime) -> Column:
-    if df.schema[column].dataType.simpleString() == "date":
-        return F.lit(moment.date())
-    return F.lit(moment).cast(df.schema[column].dataType)
+    # as text, because the zone of the driver's process must not matter
+    return F.lit(moment.isoformat(sep=" ")).cast(df.schema[column].dataType)
 
 
 def time_filter(df: DataFrame, column: str, start: dt.datetime, end: dt.datetime) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +24,7 @@ FILES = {
     "CONCEPT_RELATIONSHIP": ["concept_id_1", "concept_id_2", "relationship_id"],
     "CONCEPT_SYNONYM": ["concept_id", "concept_synonym_name", "language_concept_id"],
     "DOMAIN": ["domain_id"],
-    "DRUG_STRENGTH": ["drug_concept_id", "ingredient_concept_id"],
+    "DRUG_STRENGTH": ["drug_concept_id", "ingredient_concept_id", "valid_start_date"],
     "RELATIONSHIP": ["relationship_id"],
     "VOCABULARY": ["vocabulary_id"],
 }
@@ -39,10 +41,15 @@ def file_schema(name: str) -> T.StructType:
     )
 
 
-def read_vocabulary(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of one file in the shape of its table, and the lines that do not fit."""
+def read_vocabulary(
+    spark: SparkSession, paths: str | Sequence[str], name: str
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files of one table in its shape, and the lines that do not fit.
+
+    The download does not quote, so a quote is a character like others.
+    """
     schema = table_schema(name.lower())
-    raw = read_typed_delimited(spark, f"{folder}/{name}.csv", file_schema(name))
+    raw = read_typed_delimited(spark, paths, file_schema(name), quote="")
 
     def value(field: T.StructField) -> Column:
         if isinstance(field.dataType, T.TimestampType):
@@ -52,24 +59,34 @@ def read_vocabulary(spark: SparkSession, folder: str, name: str) -> tuple[DataFr
     typed = conform(raw.where(F.col(CORRUPT).isNull()), schema, {f.name: value(f) for f in schema})
     accepted, incomplete = split_complete(typed, required_columns(schema))
     record = F.to_json(F.struct(*schema.names))
-    broken = raw.where(F.col(CORRUPT).isNotNull()).select(
+    # Spark refuses plans that read the broken lines alone, as a count would; the always true test
+    # keeps a second column in the scan
+    second = F.coalesce(F.col(schema.names[0]).cast("string"), F.lit("")) >= ""
+    broken = raw.where(F.col(CORRUPT).isNotNull() & second).select(
         F.coalesce(F.col(CORRUPT), record).alias("line"), F.lit(CORRUPT).alias("missing_columns")
     )
     rejected = incomplete.select(record.alias("line"), "missing_columns")
     return accepted, rejected.unionByName(broken)
 
 
-def files_in(spark: SparkSession, folder: str) -> list[str]:
-    """The vocabulary files a folder holds. File names only; no content is read."""
+def files_in(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """The paths of the vocabulary files below a folder. Names only; no content is read."""
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(folder)
-        .select(F.regexp_extract("path", r"/([A-Z_]+)\.csv", 1).alias("name"))
+        .select(
+            # a file, or a folder of that name with its parts
+            F.regexp_extract("path", r"^(.*/([A-Z_]+)\.csv)(/[^/]*)?$", 2).alias("name"),
+            F.regexp_extract("path", r"^(.*/([A-Z_]+)\.csv)(/[^/]*)?$", 1).alias("path"),
+        )
+        .where(F.col("name").isin(*FILES))
         .distinct()
     )
-    found = {row.name for row in listing.where(F.col("name").isin(*FILES)).collect()}
-    return [name for name in FILES if name in found]
+    found: dict[str, list[str]] = {}
+    for row in listing.collect():
+        found.setdefault(row.name, []).append(row.path)
+    return {name: sorted(found[name]) for name in FILES if name in found}
 
 
 def code_to_concept(

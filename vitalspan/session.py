@@ -31,6 +31,13 @@ def build_session(app_name: str = "vitalspan", **overrides: str) -> SparkSession
     return builder.getOrCreate()
 
 
+def delete_at_exit(spark: SparkSession, *paths: str) -> None:
+    """Has written scratch folders deleted when the session's file system is closed."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables, below ``spark.checkpoint.dir``.
 

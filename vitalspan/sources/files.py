@@ -50,21 +50,28 @@ def read_folder(
 
 
 def read_delimited(
-    spark: SparkSession, path: str, columns: Sequence[str], sep: str = ";"
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ";"
 ) -> DataFrame:
     """Delimited text with a header, every column a string, and ``source_row``.
 
+    Without ``columns`` the header names them; reading it takes one line.
     Types are not inferred: inference reads the data an extra time and drops the leading zeros of
     codes. ``source_row`` grows along the file; taken directly on the scan, it is the same
     whenever a task is repeated.
     """
+    if columns is None:
+        columns = spark.read.csv(path, sep=sep, header=True).columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     scan = spark.read.schema(schema).csv(path, sep=sep, header=True, enforceSchema=False)
     return scan.withColumn("source_row", F.monotonically_increasing_id())
 
 
 def read_typed_delimited(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t"
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType,
+    sep: str = "\t",
+    quote: str = '"',
 ) -> DataFrame:
     """Delimited text with a declared schema; lines that do not fit it land in ``CORRUPT``.
 
@@ -75,7 +82,12 @@ def read_typed_delimited(
     fields.append(T.StructField(CORRUPT, T.StringType()))
     reader = spark.read.schema(T.StructType(fields)).option("columnPruning", "false")
     return reader.csv(
-        path, sep=sep, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
+        path if isinstance(path, str) else list(path),
+        sep=sep,
+        quote=quote,
+        header=True,
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord=CORRUPT,
     )
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import logging
+import os
+import re
+import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -49,15 +53,12 @@ class TableStore:
     def run_script(self, path: str) -> list[tuple[str, str | None]]:
         """Runs the statements of a SQL file in turn, over errors too.
 
-        Returns each statement with its error or None. Statements end with ``;`` at the end of a
-        line, so they may span lines and hold a ``;`` within one. Lines that start with ``--``
-        are comments.
+        Returns each statement with its error or None. Statements end with ``;``, which may stand
+        in quotes and comments.
         """
         text = "\n".join(row.value for row in read_text(self.spark, path).collect())
-        lines = [line for line in text.splitlines() if not line.strip().startswith("--")]
-        statements = [s.strip().rstrip(";").strip() for s in _split_at_line_ends(lines)]
         outcome = []
-        for statement in filter(None, statements):
+        for statement in split_statements(text):
             try:
                 self.spark.sql(statement)
                 outcome.append((statement, None))
@@ -92,11 +93,15 @@ class TableStore:
     ) -> int:
         """Appends the rows whose key the table does not hold yet.
 
-        ``between`` promises that the (single-column) key of ``df`` is within that half-open
-        range. Only such target rows are read then, and parquet statistics skip other files.
+        Nulls in keys are equal to each other. Of arriving rows with the same key one comes in.
+        ``between`` promises that the (single-column) key of ``df`` is unique and within that
+        half-open range. Only such target rows are read then, and parquet statistics skip other
+        files.
         """
         held = self.read(table).select(*key)
-        if between is not None:
+        if between is None:
+            df = one_per_key(df, key)
+        else:
             held = held.where((F.col(key[0]) >= between[0]) & (F.col(key[0]) < between[1]))
         return self.append(new_rows(df, held, key), table)
 
@@ -107,32 +112,69 @@ class TableStore:
     def publish(
         self, df: DataFrame, table: str, location: str, if_exists: str = "fail"
     ) -> DataFrame:
-        """Writes a result as an external Parquet table: ``fail`` or ``replace`` if it exists."""
+        """Writes a result as an external Parquet table: ``fail`` or ``replace`` if it exists.
+
+        Each publication has a folder of its own below ``location``. A replaced table is switched
+        over when the new folder is complete, so a result may read the table it replaces, and a
+        failed write leaves it as it was.
+        """
         if if_exists not in ("fail", "replace"):
             raise ValueError(f"if_exists must be 'fail' or 'replace', not {if_exists!r}")
-        name = self.name(table)
-        if self.spark.catalog.tableExists(name):
-            if if_exists == "fail":
-                raise AnalysisException(f"table {name} already exists")
-            self.spark.sql(f"DROP TABLE {name}")
-        mode = "errorifexists" if if_exists == "fail" else "overwrite"
-        df.write.mode(mode).format("parquet").option("path", location).saveAsTable(name)
-        return self.spark.read.table(name)
-
-
-def _split_at_line_ends(lines: list[str]) -> list[str]:
-    statements, current = [], []
-    for line in lines:
-        current.append(line)
-        if line.rstrip().endswith(";"):
-            statements.append("\n".join(current))
-            current = []
-    return [*statements, "\n".join(current)]
+        name, spark = self.name(table), self.spark
+        exists = spark.catalog.tableExists(name)
+        if exists and if_exists == "fail":
+            raise AnalysisException(f"table {name} already exists")
+        folder = f"{location.rstrip('/')}/{uuid.uuid4().hex}"
+        df.write.format("parquet").save(folder)
+        before = {os.path.dirname(f) for f in spark.read.table(name).inputFiles()} if exists else ()
+        if exists:
+            spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(name, folder, source="parquet", schema=df.schema)
+        for old in before:
+            path = spark._jvm.org.apache.hadoop.fs.Path(old)
+            files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            # only what an earlier publication wrote below this location
+            below = files.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(location))
+            if path.getParent().equals(below):
+                files.delete(path, True)
+        return spark.read.table(name)
+
+
+# quoted text, comments, the end of a statement
+_MARKS = re.compile(
+    r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|(?P<comment>--[^\n]*|/\*.*?\*/)|(?P<end>;)""",
+    re.DOTALL,
+)
+
+
+def split_statements(text: str) -> list[str]:
+    """The statements of a script, without comments."""
+    statements, current, at = [], "", 0
+    for mark in _MARKS.finditer(text):
+        current += text[at : mark.start()]
+        at = mark.end()
+        if mark["end"]:
+            statements.append(current)
+            current = ""
+        else:
+            current += " " if mark["comment"] else mark[0]
+    statements.append(current + text[at:])
+    return [s.strip() for s in statements if s.strip()]
+
+
+def one_per_key(df: DataFrame, key: list[str]) -> DataFrame:
+    """One row of each key, the least of those that share it."""
+    rest = [F.struct(F.col(c).isNull(), F.col(c)).alias(c) for c in df.columns if c not in key]
+    least = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("least")) if rest else df.distinct()
+    columns = [F.col(c) if c in key else F.col(f"least.{c}.{c}").alias(c) for c in df.columns]
+    return least.select(*columns) if rest else least
 
 
 def new_rows(df: DataFrame, held: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``held``."""
-    return df.join(held.select(*key), key, "left_anti").select(*df.columns)
+    """Rows of ``df`` whose key is not in ``held``; nulls are equal to each other."""
+    known = held.select(*[F.col(c).alias(f"held_{c}") for c in key])
+    same = [F.col(c).eqNullSafe(F.col(f"held_{c}")) for c in key]
+    return df.join(known, functools.reduce(Column.__and__, same), "left_anti")
 
 
 def export_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
