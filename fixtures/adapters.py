@@ -17,8 +17,13 @@ from pyspark.sql import functions as F
 from vitalspan.plans.climate import daily_statistics
 from vitalspan.sources.files import read_parquet, with_lineage
 
-# state code of nation 0, 1, 2, ..., two digits each
-NATION_STATES = "11121314151617212223242526272829313233354142435051"
+# fixed values: state codes of nation 0, 1, 2, ...
+STATE_CODES = [
+    "11", "12", "13", "14", "15", "16", "17", "21", "22", "23", "24", "25", "26", "27", "28", "29",
+    "31", "32", "33", "35", "41", "42", "43", "50", "51",
+]
+# as SQL looks them up, two digits each
+NATION_STATES = "".join(STATE_CODES)
 
 
 class Dialect(NamedTuple):

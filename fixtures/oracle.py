@@ -57,6 +57,7 @@ CITY = f"""city AS (
       AS location_source_value
   FROM nation)"""
 
+# fixed values: the states, the bands of rates, and below the cells and targets of the facts
 STATES = """states (state_name, state_code, uf, region_code, region_name) AS (VALUES
   ('Acre','12','AC',1,'Norte'), ('Alagoas','27','AL',2,'Nordeste'), ('Amapá','16','AP',1,'Norte'),
   ('Amazonas','13','AM',1,'Norte'), ('Bahia','29','BA',2,'Nordeste'),
@@ -231,6 +232,7 @@ FROM cells"""
 
 
 # the columns the adapters have, in the order of the fact tables
+# fixed values: source cells and their concepts
 BIRTH_CONDITION_CELLS = [
     ("STDNEPIDEM", 432250),
     ("TPAPRESENT", 40338816),
@@ -389,6 +391,7 @@ def _rounded(column: str) -> str:
     return f"round(({column})::FLOAT::DOUBLE, 4)"
 
 
+# fixed values: names of the climate targets and their sources
 _TARGET_VARIABLES = [
     ("temperature_min", "TMIN"),
     ("temperature_max", "TMAX"),
@@ -701,9 +704,9 @@ SELECT * FROM e WHERE (day, kind) = (SELECT (day, kind) FROM e
 SELECT 'loaded' AS outcome, code FROM raw
 UNION ALL SELECT 'rejected', '99' || substr(code, 3, 5) FROM raw""",
         "climate_load": _with(CLIMATE, CITY)
-        + """SELECT code_muni AS city_code, city AS city_name, date::TIMESTAMP AS day
+        + """SELECT code_muni AS city_code, city AS city_name, date AS day
 FROM climate LEFT JOIN city ON code_muni = location_source_value
-UNION ALL SELECT DISTINCT NULL::VARCHAR, NULL::VARCHAR, date::TIMESTAMP FROM climate""",
+UNION ALL SELECT DISTINCT NULL::VARCHAR, NULL::VARCHAR, date FROM climate""",
         "climate_flat_load": _with(CLIMATE)
         + """SELECT code_muni, date::TIMESTAMP AS day FROM climate
 UNION ALL SELECT DISTINCT NULL::VARCHAR, date::TIMESTAMP FROM climate""",

@@ -40,61 +40,6 @@ STATES = [
 UNKNOWN_STATE = "Desconhecido"
 ISO_COUNTRY = "BR"
 
-# health facility types: code, name, concept
-UNIT_TYPES = [
-    (69, "CENTRO DE ATENCAO HEMOTERAPIA E OU HEMATOLOGICA", 69000),
-    (70, "CENTRO DE ATENCAO PSICOSSOCIAL", 70000),
-    (71, "CENTRO DE APOIO A SAUDE DA FAMILIA", 71000),
-    (72, "UNIDADE DE ATENCAO A SAUDE INDIGENA", 72000),
-    (1, "POSTO DE SAUDE", 1000),
-    (2, "CENTRO DE SAUDE/UNIDADE BASICA", 2000),
-    (4, "POLICLINICA", 4000),
-    (22, "CONSULTORIO ISOLADO", 22000),
-    (40, "UNIDADE MOVEL TERRESTRE", 40000),
-    (42, "UNIDADE MOVEL DE NIVEL PRE-HOSPITALAR NA AREA DE URGENCIA", 42000),
-    (32, "UNIDADE MOVEL FLUVIAL", 32000),
-    (36, "CLINICA/CENTRO DE ESPECIALIDADE", 36000),
-    (64, "CENTRAL DE REGULACAO DE SERVICOS DE SAUDE", 64000),
-    (43, "FARMACIA", 43000),
-    (39, "UNIDADE DE APOIO DIAGNOSE E TERAPIA (SADT ISOLADO)", 39000),
-    (61, "CENTRO DE PARTO NORMAL - ISOLADO", 61000),
-    (62, "HOSPITAL/DIA - ISOLADO", 62000),
-    (15, "UNIDADE MISTA", 15000),
-    (20, "PRONTO SOCORRO GERAL", 20000),
-    (21, "PRONTO SOCORRO ESPECIALIZADO", 21000),
-    (5, "HOSPITAL GERAL", 5000),
-    (7, "HOSPITAL ESPECIALIZADO", 7000),
-    (60, "COOPERATIVA OU EMPRESA DE CESSAO DE TRABALHADORES NA SAUDE", 60000),
-    (50, "UNIDADE DE VIGILANCIA EM SAUDE", 50000),
-    (67, "LABORATORIO CENTRAL DE SAUDE PUBLICA LACEN", 67000),
-    (68, "CENTRAL DE GESTAO EM SAUDE", 68000),
-    (73, "PRONTO ATENDIMENTO", 73000),
-    (74, "POLO ACADEMIA DA SAUDE", 74000),
-    (84, "CENTRAL DE ABASTECIMENTO", 84000),
-    (85, "CENTRO DE IMUNIZACAO", 85000),
-    (76, "CENTRAL DE REGULACAO MEDICA DAS URGENCIAS", 76000),
-    (79, "OFICINA ORTOPEDICA", 79000),
-    (81, "CENTRAL DE REGULACAO DO ACESSO", 81000),
-    (83, "POLO DE PREVENCAO DE DOENCAS E AGRAVOS E PROMOCAO DA SAUDE", 83000),
-    (82, "CENTRAL DE NOTIFICACAO,CAPTACAO E DISTRIB DE ORGAOS ESTADUAL", 82000),
-    (77, "SERVICO DE ATENCAO DOMICILIAR ISOLADO(HOME CARE)", 77000),
-    (75, "TELESSAUDE", 75000),
-    (80, "LABORATORIO DE SAUDE PUBLICA", 80000),
-    (78, "UNIDADE DE ATENCAO EM REGIME RESIDENCIAL", 78000),
-]
-
-# sample municipalities: code, 6-digit code, state code, state abbreviation, name
-SAMPLE_CITIES = [
-    (1200013, 120001, 12, "AC", "Acrelândia"),
-    (1200054, 120005, 12, "AC", "Assis Brasil"),
-    (1200104, 120010, 12, "AC", "Brasiléia"),
-    (1200138, 120013, 12, "AC", "Bujari"),
-    (1200179, 120017, 12, "AC", "Capixaba"),
-]
-
-# sample diagnosis code: ICD-10 code, concept
-SAMPLE_DIAGNOSES = [("R19.3", 45606798)]
-
 # birth attendants: provider id, specialty concept, label, source code
 PROVIDERS = [
     (1, 4206451, "Médico", 1),
@@ -157,25 +102,6 @@ def states(spark: SparkSession) -> DataFrame:
     )
 
 
-def unit_types(spark: SparkSession) -> DataFrame:
-    """Facility types with their concept."""
-    return _relation(spark, UNIT_TYPES, "code int, name string, concept_id bigint")
-
-
-def sample_cities(spark: SparkSession) -> DataFrame:
-    """A handful of municipalities for trying things out."""
-    return _relation(
-        spark,
-        SAMPLE_CITIES,
-        "code int, short_code int, state_code int, state string, name string",
-    )
-
-
-def sample_diagnoses(spark: SparkSession) -> DataFrame:
-    """A sample ICD-10 code with its concept."""
-    return _relation(spark, SAMPLE_DIAGNOSES, "code string, concept_id bigint")
-
-
 def providers(spark: SparkSession) -> DataFrame:
     """Kinds of birth attendants."""
     return _relation(spark, PROVIDERS, "id bigint, concept bigint, label string, code bigint")

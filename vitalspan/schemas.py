@@ -1,38 +1,19 @@
-"""Registry of the 42 tables of the clinical data model (version 5.4 plus three extensions).
-
-A table is written as its column names. ``!`` marks a required column. The type follows from
-the name (see ``_type_of``) unless one is given after ``:``.
-"""
+"""Registry of the 42 tables of the clinical data model (version 5.4 plus three extensions)."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
 _TYPES = {
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "float": T.FloatType(),
-    "string": T.StringType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-}
-
-# identifiers that hold text codes rather than numbers
-_TEXT_IDS = {
-    "domain_id",
-    "vocabulary_id",
-    "concept_class_id",
-    "relationship_id",
-    "reverse_relationship_id",
-    "source_vocabulary_id",
-    "target_vocabulary_id",
-    "cost_domain_id",
-    "specimen_source_id",
-    "unique_device_id",
-    "production_id",
-    "physician_id",
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "FLOAT": T.FloatType(),
+    "STRING": T.StringType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
 }
 
+# fixed values: names of the climate variables and pollutants
 CLIMATE_VARIABLES = {
     # target name -> source prefix
     "temperature_min": "TMIN",
@@ -59,180 +40,318 @@ POLLUTANTS = {
     "sulfur_dioxide_so2": "so2",
 }
 
-_VISIT = "provider_id visit_occurrence_id visit_detail_id"
-
+# fixed values: the columns of the model's tables
 _TABLES = {
-    "person": "person_id! gender_concept_id! year_of_birth!:int month_of_birth:int day_of_birth:int"
-    " birth_timestamp race_concept_id! ethnicity_concept_id! location_id provider_id care_site_id"
-    " person_source_value gender_source_value gender_source_concept_id race_source_value"
-    " race_source_concept_id ethnicity_source_value ethnicity_source_concept_id",
-    "observation_period": "observation_period_id! person_id! observation_period_start_date!"
-    " observation_period_end_date! period_type_concept_id!",
-    "visit_occurrence": "visit_occurrence_id! person_id! visit_concept_id! visit_start_date!"
-    " visit_start_timestamp visit_end_date! visit_end_timestamp visit_type_concept_id! provider_id"
-    " care_site_id visit_source_value visit_source_concept_id admitted_from_concept_id"
-    " admitted_from_source_value discharged_to_concept_id discharged_to_source_value"
-    " preceding_visit_occurrence_id",
-    "visit_detail": "visit_detail_id! person_id! visit_detail_concept_id! visit_detail_start_date!"
-    " visit_detail_start_timestamp visit_detail_end_date! visit_detail_end_timestamp"
-    " visit_detail_type_concept_id! provider_id care_site_id visit_detail_source_value"
-    " visit_detail_source_concept_id admitted_from_concept_id admitted_from_source_value"
-    " discharged_to_source_value discharged_to_concept_id preceding_visit_detail_id"
-    " parent_visit_detail_id visit_occurrence_id!",
-    "condition_occurrence": "condition_occurrence_id! person_id! condition_concept_id!"
-    " condition_start_date! condition_start_timestamp condition_end_date condition_end_timestamp"
-    f" condition_type_concept_id! condition_status_concept_id stop_reason {_VISIT}"
-    " condition_source_value condition_source_concept_id condition_status_source_value",
-    "drug_exposure": "drug_exposure_id! person_id! drug_concept_id! drug_exposure_start_date!"
-    " drug_exposure_start_timestamp drug_exposure_end_date! drug_exposure_end_timestamp"
-    " verbatim_end_date drug_type_concept_id! stop_reason refills:int quantity:float"
-    f" days_supply:int sig route_concept_id lot_number {_VISIT} drug_source_value"
-    " drug_source_concept_id route_source_value dose_unit_source_value",
-    "procedure_occurrence": "procedure_occurrence_id! person_id! procedure_concept_id!"
-    " procedure_date! procedure_timestamp procedure_end_date procedure_end_timestamp"
-    f" procedure_type_concept_id! modifier_concept_id quantity:int {_VISIT}"
-    " procedure_source_value procedure_source_concept_id modifier_source_value",
-    "device_exposure": "device_exposure_id! person_id! device_concept_id!"
-    " device_exposure_start_date! device_exposure_start_timestamp device_exposure_end_date"
-    " device_exposure_end_timestamp device_type_concept_id! unique_device_id production_id"
-    f" quantity:int {_VISIT} device_source_value device_source_concept_id unit_concept_id"
-    " unit_source_value unit_source_concept_id",
-    "measurement": "measurement_id! person_id! measurement_concept_id! measurement_date!"
-    " measurement_timestamp measurement_time measurement_type_concept_id! operator_concept_id"
-    " value_as_number:float value_as_concept_id unit_concept_id range_low:float range_high:float"
-    f" {_VISIT} measurement_source_value measurement_source_concept_id unit_source_value"
-    " unit_source_concept_id value_source_value measurement_event_id meas_event_field_concept_id",
-    "observation": "observation_id! person_id! observation_concept_id! observation_date!"
-    " observation_timestamp observation_type_concept_id! value_as_number:float value_as_string"
-    f" value_as_concept_id qualifier_concept_id unit_concept_id {_VISIT} observation_source_value"
-    " observation_source_concept_id unit_source_value qualifier_source_value value_source_value"
-    " observation_event_id obs_event_field_concept_id",
-    "death": "person_id! death_date! death_timestamp death_type_concept_id cause_concept_id"
-    " cause_source_value cause_source_concept_id",
-    "note": "note_id! person_id! note_date! note_timestamp note_type_concept_id!"
-    " note_class_concept_id! note_title note_text! encoding_concept_id! language_concept_id!"
-    f" {_VISIT} note_source_value note_event_id note_event_field_concept_id",
-    "note_nlp": "note_nlp_id! note_id! section_concept_id snippet offset lexical_variant!"
-    " note_nlp_concept_id note_nlp_source_concept_id nlp_system nlp_date! nlp_timestamp"
-    " term_exists term_temporal term_modifiers",
-    "specimen": "specimen_id! person_id! specimen_concept_id! specimen_type_concept_id!"
-    " specimen_date! specimen_timestamp quantity:float unit_concept_id anatomic_site_concept_id"
-    " disease_status_concept_id specimen_source_id specimen_source_value unit_source_value"
-    " anatomic_site_source_value disease_status_source_value",
-    "fact_relationship": "domain_concept_id_1!:int fact_id_1!:int domain_concept_id_2!:int"
-    " fact_id_2!:int relationship_concept_id!",
-    "location": "location_id! address_1 address_2 city state zip county location_source_value"
-    " country_concept_id country_source_value latitude:float longitude:float",
-    "care_site": "care_site_id! care_site_name place_of_service_concept_id location_id"
-    " care_site_source_value place_of_service_source_value",
-    "provider": "provider_id! provider_name npi dea specialty_concept_id care_site_id"
-    " year_of_birth:int gender_concept_id provider_source_value specialty_source_value"
-    " specialty_source_concept_id gender_source_value gender_source_concept_id",
-    "payer_plan_period": "payer_plan_period_id! person_id! payer_plan_period_start_date!"
-    " payer_plan_period_end_date! payer_concept_id payer_source_value payer_source_concept_id"
-    " plan_concept_id plan_source_value plan_source_concept_id sponsor_concept_id"
-    " sponsor_source_value sponsor_source_concept_id family_source_value stop_reason_concept_id"
-    " stop_reason_source_value stop_reason_source_concept_id",
-    "cost": "cost_id! cost_event_id! cost_domain_id! cost_type_concept_id! currency_concept_id"
-    " total_charge:float total_cost:float total_paid:float paid_by_payer:float"
-    " paid_by_patient:float paid_patient_copay:float paid_patient_coinsurance:float"
-    " paid_patient_deductible:float paid_by_primary:float paid_ingredient_cost:float"
-    " paid_dispensing_fee:float payer_plan_period_id amount_allowed:float"
-    " revenue_code_concept_id revenue_code_source_value drg_concept_id drg_source_value",
-    "drug_era": "drug_era_id! person_id! drug_concept_id! drug_era_start_date!"
-    " drug_era_end_date! drug_exposure_count:int gap_days:int",
-    "dose_era": "dose_era_id! person_id! drug_concept_id! unit_concept_id! dose_value!:float"
-    " dose_era_start_date! dose_era_end_date!",
-    "condition_era": "condition_era_id! person_id! condition_concept_id!"
-    " condition_era_start_date! condition_era_end_date! condition_occurrence_count:int",
-    "episode": "episode_id! person_id! episode_concept_id! episode_start_date!"
-    " episode_start_timestamp episode_end_date episode_end_timestamp episode_parent_id"
-    " episode_number:int episode_object_concept_id! episode_type_concept_id!"
-    " episode_source_value episode_source_concept_id",
-    "episode_event": "episode_id! event_id! episode_event_field_concept_id!",
-    "metadata": "metadata_id! metadata_concept_id! metadata_type_concept_id! name!"
-    " value_as_string value_as_concept_id value_as_number:float metadata_date metadata_timestamp",
-    "cdm_source": "cdm_source_name! cdm_source_abbreviation! cdm_holder! source_description"
-    " source_documentation_reference cdm_etl_reference source_release_date! cdm_release_date!"
-    " cdm_version cdm_version_concept_id! vocabulary_version!",
-    "concept": "concept_id! concept_name! domain_id! vocabulary_id! concept_class_id!"
-    " standard_concept concept_code! valid_start_date! valid_end_date! invalid_reason",
-    "vocabulary": "vocabulary_id! vocabulary_name! vocabulary_reference vocabulary_version"
-    " vocabulary_concept_id!",
-    "domain": "domain_id! domain_name! domain_concept_id!",
-    "concept_class": "concept_class_id! concept_class_name! concept_class_concept_id!",
-    "concept_relationship": "concept_id_1!:long concept_id_2!:long relationship_id!"
-    " valid_start_date! valid_end_date! invalid_reason",
-    "relationship": "relationship_id! relationship_name! is_hierarchical! defines_ancestry!"
-    " reverse_relationship_id! relationship_concept_id!",
-    "concept_synonym": "concept_id! concept_synonym_name! language_concept_id!",
-    "concept_ancestor": "ancestor_concept_id! descendant_concept_id!"
-    " min_levels_of_separation!:int max_levels_of_separation!:int",
-    "source_to_concept_map": "source_code! source_concept_id! source_vocabulary_id!"
-    " source_code_description target_concept_id! target_vocabulary_id! valid_start_date!"
-    " valid_end_date! invalid_reason",
-    "drug_strength": "drug_concept_id! ingredient_concept_id! amount_value:float"
-    " amount_unit_concept_id numerator_value:float numerator_unit_concept_id"
-    " denominator_value:float denominator_unit_concept_id box_size:int valid_start_date!"
-    " valid_end_date! invalid_reason",
-    "cohort": "cohort_definition_id! subject_id! cohort_start_date! cohort_end_date!",
-    "cohort_definition": "cohort_definition_id! cohort_definition_name!"
-    " cohort_definition_description definition_type_concept_id! cohort_definition_syntax"
-    " subject_concept_id! cohort_initiation_date",
-    "datasus_person": "person_id! system_source_id!:int datasus_person_source_date!:date"
-    " ingestion_timestamp! source_file! mother_birth_date:date mother_birth_date_source_value"
-    " mother_years_of_study mother_education_level mother_education_level_aggregated"
-    " mother_marital_status mother_age:int mother_city_of_birth:int mother_state_of_birth:int"
-    " mother_race mother_elementary_school:int father_age:int responsible_document_type:int"
-    " responsible_role_type:int place_of_birth_type_source_value"
-    " care_site_of_birth_source_value:int mother_professional_occupation"
-    " mother_country_of_origin:int number_of_dead_children:int number_of_living_children:int"
-    " number_of_previous_pregnancies:int number_of_previous_cesareans:int"
-    " number_of_previous_normal_born:int",
-    "datasus_death": "person_id! system_source_id!:int datasus_person_source_date!:date"
-    " ingestion_timestamp! source_file! defunct_job_related_death:int death_reason_changed:int"
-    " defunct_in_continuous_treatment:int defunct_city_of_birth:int defunct_city_of_death:int"
-    " autopsy_city:int death_investigation_date defunct_years_of_study defunct_education_level"
-    " defunct_education_level_aggregated mother_years_of_study mother_education_level"
-    " mother_education_level_aggregated defunct_marital_status defunct_age:int mother_age:int"
-    " birth_death:int defunct_main_occupation:int mother_professional_occupation"
-    " number_of_dead_children:int number_of_living_children:int defunct_elementary_school:int"
-    " mother_elementary_school:int death_investigation_level death_occurrence_time:int"
-    " death_investigated death_additional_info:int information_source investigation_source:int"
-    " investigation_register_date investigation_case_conclusion_date"
-    " investigation_conclusion_date investigation_date type_place_of_death:int"
-    " death_occurrence_time_2012:int death_cause_original death_cause_previous physician_id",
-    "datasus_climate": "location_id city_code city_name state_code state_abbreviation state_name"
-    " region_code:float region_name measurement_date:string "
-    + " ".join(
-        f"{variable}_{statistic}_value:float"
-        for variable in CLIMATE_VARIABLES
-        for statistic in CLIMATE_STATISTICS
-    )
-    + " "
-    + " ".join(f"{name}:float" for name in POLLUTANTS),
+    "person": """
+        person_id BIGINT NOT NULL, gender_concept_id BIGINT NOT NULL, year_of_birth INT NOT
+        NULL, month_of_birth INT, day_of_birth INT, birth_timestamp TIMESTAMP, race_concept_id
+        BIGINT NOT NULL, ethnicity_concept_id BIGINT NOT NULL, location_id BIGINT, provider_id
+        BIGINT, care_site_id BIGINT, person_source_value STRING, gender_source_value STRING,
+        gender_source_concept_id BIGINT, race_source_value STRING, race_source_concept_id
+        BIGINT, ethnicity_source_value STRING, ethnicity_source_concept_id BIGINT
+    """,
+    "observation_period": """
+        observation_period_id BIGINT NOT NULL, person_id BIGINT NOT NULL,
+        observation_period_start_date TIMESTAMP NOT NULL, observation_period_end_date TIMESTAMP
+        NOT NULL, period_type_concept_id BIGINT NOT NULL
+    """,
+    "visit_occurrence": """
+        visit_occurrence_id BIGINT NOT NULL, person_id BIGINT NOT NULL, visit_concept_id BIGINT
+        NOT NULL, visit_start_date TIMESTAMP NOT NULL, visit_start_timestamp TIMESTAMP,
+        visit_end_date TIMESTAMP NOT NULL, visit_end_timestamp TIMESTAMP, visit_type_concept_id
+        BIGINT NOT NULL, provider_id BIGINT, care_site_id BIGINT, visit_source_value STRING,
+        visit_source_concept_id BIGINT, admitted_from_concept_id BIGINT,
+        admitted_from_source_value STRING, discharged_to_concept_id BIGINT,
+        discharged_to_source_value STRING, preceding_visit_occurrence_id BIGINT
+    """,
+    "visit_detail": """
+        visit_detail_id BIGINT NOT NULL, person_id BIGINT NOT NULL, visit_detail_concept_id
+        BIGINT NOT NULL, visit_detail_start_date TIMESTAMP NOT NULL,
+        visit_detail_start_timestamp TIMESTAMP, visit_detail_end_date TIMESTAMP NOT NULL,
+        visit_detail_end_timestamp TIMESTAMP, visit_detail_type_concept_id BIGINT NOT NULL,
+        provider_id BIGINT, care_site_id BIGINT, visit_detail_source_value STRING,
+        visit_detail_source_concept_id BIGINT, admitted_from_concept_id BIGINT,
+        admitted_from_source_value STRING, discharged_to_source_value STRING,
+        discharged_to_concept_id BIGINT, preceding_visit_detail_id BIGINT,
+        parent_visit_detail_id BIGINT, visit_occurrence_id BIGINT NOT NULL
+    """,
+    "condition_occurrence": """
+        condition_occurrence_id BIGINT NOT NULL, person_id BIGINT NOT NULL, condition_concept_id
+        BIGINT NOT NULL, condition_start_date TIMESTAMP NOT NULL, condition_start_timestamp
+        TIMESTAMP, condition_end_date TIMESTAMP, condition_end_timestamp TIMESTAMP,
+        condition_type_concept_id BIGINT NOT NULL, condition_status_concept_id BIGINT,
+        stop_reason STRING, provider_id BIGINT, visit_occurrence_id BIGINT, visit_detail_id
+        BIGINT, condition_source_value STRING, condition_source_concept_id BIGINT,
+        condition_status_source_value STRING
+    """,
+    "drug_exposure": """
+        drug_exposure_id BIGINT NOT NULL, person_id BIGINT NOT NULL, drug_concept_id BIGINT NOT
+        NULL, drug_exposure_start_date TIMESTAMP NOT NULL, drug_exposure_start_timestamp
+        TIMESTAMP, drug_exposure_end_date TIMESTAMP NOT NULL, drug_exposure_end_timestamp
+        TIMESTAMP, verbatim_end_date TIMESTAMP, drug_type_concept_id BIGINT NOT NULL,
+        stop_reason STRING, refills INT, quantity FLOAT, days_supply INT, sig STRING,
+        route_concept_id BIGINT, lot_number STRING, provider_id BIGINT, visit_occurrence_id
+        BIGINT, visit_detail_id BIGINT, drug_source_value STRING, drug_source_concept_id BIGINT,
+        route_source_value STRING, dose_unit_source_value STRING
+    """,
+    "procedure_occurrence": """
+        procedure_occurrence_id BIGINT NOT NULL, person_id BIGINT NOT NULL, procedure_concept_id
+        BIGINT NOT NULL, procedure_date TIMESTAMP NOT NULL, procedure_timestamp TIMESTAMP,
+        procedure_end_date TIMESTAMP, procedure_end_timestamp TIMESTAMP,
+        procedure_type_concept_id BIGINT NOT NULL, modifier_concept_id BIGINT, quantity INT,
+        provider_id BIGINT, visit_occurrence_id BIGINT, visit_detail_id BIGINT,
+        procedure_source_value STRING, procedure_source_concept_id BIGINT, modifier_source_value
+        STRING
+    """,
+    "device_exposure": """
+        device_exposure_id BIGINT NOT NULL, person_id BIGINT NOT NULL, device_concept_id BIGINT
+        NOT NULL, device_exposure_start_date TIMESTAMP NOT NULL, device_exposure_start_timestamp
+        TIMESTAMP, device_exposure_end_date TIMESTAMP, device_exposure_end_timestamp TIMESTAMP,
+        device_type_concept_id BIGINT NOT NULL, unique_device_id STRING, production_id STRING,
+        quantity INT, provider_id BIGINT, visit_occurrence_id BIGINT, visit_detail_id BIGINT,
+        device_source_value STRING, device_source_concept_id BIGINT, unit_concept_id BIGINT,
+        unit_source_value STRING, unit_source_concept_id BIGINT
+    """,
+    "measurement": """
+        measurement_id BIGINT NOT NULL, person_id BIGINT NOT NULL, measurement_concept_id BIGINT
+        NOT NULL, measurement_date TIMESTAMP NOT NULL, measurement_timestamp TIMESTAMP,
+        measurement_time STRING, measurement_type_concept_id BIGINT NOT NULL,
+        operator_concept_id BIGINT, value_as_number FLOAT, value_as_concept_id BIGINT,
+        unit_concept_id BIGINT, range_low FLOAT, range_high FLOAT, provider_id BIGINT,
+        visit_occurrence_id BIGINT, visit_detail_id BIGINT, measurement_source_value STRING,
+        measurement_source_concept_id BIGINT, unit_source_value STRING, unit_source_concept_id
+        BIGINT, value_source_value STRING, measurement_event_id BIGINT,
+        meas_event_field_concept_id BIGINT
+    """,
+    "observation": """
+        observation_id BIGINT NOT NULL, person_id BIGINT NOT NULL, observation_concept_id BIGINT
+        NOT NULL, observation_date TIMESTAMP NOT NULL, observation_timestamp TIMESTAMP,
+        observation_type_concept_id BIGINT NOT NULL, value_as_number FLOAT, value_as_string
+        STRING, value_as_concept_id BIGINT, qualifier_concept_id BIGINT, unit_concept_id BIGINT,
+        provider_id BIGINT, visit_occurrence_id BIGINT, visit_detail_id BIGINT,
+        observation_source_value STRING, observation_source_concept_id BIGINT, unit_source_value
+        STRING, qualifier_source_value STRING, value_source_value STRING, observation_event_id
+        BIGINT, obs_event_field_concept_id BIGINT
+    """,
+    "death": """
+        person_id BIGINT NOT NULL, death_date TIMESTAMP NOT NULL, death_timestamp TIMESTAMP,
+        death_type_concept_id BIGINT, cause_concept_id BIGINT, cause_source_value STRING,
+        cause_source_concept_id BIGINT
+    """,
+    "note": """
+        note_id BIGINT NOT NULL, person_id BIGINT NOT NULL, note_date TIMESTAMP NOT NULL,
+        note_timestamp TIMESTAMP, note_type_concept_id BIGINT NOT NULL, note_class_concept_id
+        BIGINT NOT NULL, note_title STRING, note_text STRING NOT NULL, encoding_concept_id
+        BIGINT NOT NULL, language_concept_id BIGINT NOT NULL, provider_id BIGINT,
+        visit_occurrence_id BIGINT, visit_detail_id BIGINT, note_source_value STRING,
+        note_event_id BIGINT, note_event_field_concept_id BIGINT
+    """,
+    "note_nlp": """
+        note_nlp_id BIGINT NOT NULL, note_id BIGINT NOT NULL, section_concept_id BIGINT, snippet
+        STRING, offset STRING, lexical_variant STRING NOT NULL, note_nlp_concept_id BIGINT,
+        note_nlp_source_concept_id BIGINT, nlp_system STRING, nlp_date TIMESTAMP NOT NULL,
+        nlp_timestamp TIMESTAMP, term_exists STRING, term_temporal STRING, term_modifiers STRING
+    """,
+    "specimen": """
+        specimen_id BIGINT NOT NULL, person_id BIGINT NOT NULL, specimen_concept_id BIGINT NOT
+        NULL, specimen_type_concept_id BIGINT NOT NULL, specimen_date TIMESTAMP NOT NULL,
+        specimen_timestamp TIMESTAMP, quantity FLOAT, unit_concept_id BIGINT,
+        anatomic_site_concept_id BIGINT, disease_status_concept_id BIGINT, specimen_source_id
+        STRING, specimen_source_value STRING, unit_source_value STRING,
+        anatomic_site_source_value STRING, disease_status_source_value STRING
+    """,
+    "fact_relationship": """
+        domain_concept_id_1 INT NOT NULL, fact_id_1 INT NOT NULL, domain_concept_id_2 INT NOT
+        NULL, fact_id_2 INT NOT NULL, relationship_concept_id BIGINT NOT NULL
+    """,
+    "location": """
+        location_id BIGINT NOT NULL, address_1 STRING, address_2 STRING, city STRING, state
+        STRING, zip STRING, county STRING, location_source_value STRING, country_concept_id
+        BIGINT, country_source_value STRING, latitude FLOAT, longitude FLOAT
+    """,
+    "care_site": """
+        care_site_id BIGINT NOT NULL, care_site_name STRING, place_of_service_concept_id BIGINT,
+        location_id BIGINT, care_site_source_value STRING, place_of_service_source_value STRING
+    """,
+    "provider": """
+        provider_id BIGINT NOT NULL, provider_name STRING, npi STRING, dea STRING,
+        specialty_concept_id BIGINT, care_site_id BIGINT, year_of_birth INT, gender_concept_id
+        BIGINT, provider_source_value STRING, specialty_source_value STRING,
+        specialty_source_concept_id BIGINT, gender_source_value STRING, gender_source_concept_id
+        BIGINT
+    """,
+    "payer_plan_period": """
+        payer_plan_period_id BIGINT NOT NULL, person_id BIGINT NOT NULL,
+        payer_plan_period_start_date TIMESTAMP NOT NULL, payer_plan_period_end_date TIMESTAMP
+        NOT NULL, payer_concept_id BIGINT, payer_source_value STRING, payer_source_concept_id
+        BIGINT, plan_concept_id BIGINT, plan_source_value STRING, plan_source_concept_id BIGINT,
+        sponsor_concept_id BIGINT, sponsor_source_value STRING, sponsor_source_concept_id
+        BIGINT, family_source_value STRING, stop_reason_concept_id BIGINT,
+        stop_reason_source_value STRING, stop_reason_source_concept_id BIGINT
+    """,
+    "cost": """
+        cost_id BIGINT NOT NULL, cost_event_id BIGINT NOT NULL, cost_domain_id STRING NOT NULL,
+        cost_type_concept_id BIGINT NOT NULL, currency_concept_id BIGINT, total_charge FLOAT,
+        total_cost FLOAT, total_paid FLOAT, paid_by_payer FLOAT, paid_by_patient FLOAT,
+        paid_patient_copay FLOAT, paid_patient_coinsurance FLOAT, paid_patient_deductible FLOAT,
+        paid_by_primary FLOAT, paid_ingredient_cost FLOAT, paid_dispensing_fee FLOAT,
+        payer_plan_period_id BIGINT, amount_allowed FLOAT, revenue_code_concept_id BIGINT,
+        revenue_code_source_value STRING, drg_concept_id BIGINT, drg_source_value STRING
+    """,
+    "drug_era": """
+        drug_era_id BIGINT NOT NULL, person_id BIGINT NOT NULL, drug_concept_id BIGINT NOT NULL,
+        drug_era_start_date TIMESTAMP NOT NULL, drug_era_end_date TIMESTAMP NOT NULL,
+        drug_exposure_count INT, gap_days INT
+    """,
+    "dose_era": """
+        dose_era_id BIGINT NOT NULL, person_id BIGINT NOT NULL, drug_concept_id BIGINT NOT NULL,
+        unit_concept_id BIGINT NOT NULL, dose_value FLOAT NOT NULL, dose_era_start_date
+        TIMESTAMP NOT NULL, dose_era_end_date TIMESTAMP NOT NULL
+    """,
+    "condition_era": """
+        condition_era_id BIGINT NOT NULL, person_id BIGINT NOT NULL, condition_concept_id BIGINT
+        NOT NULL, condition_era_start_date TIMESTAMP NOT NULL, condition_era_end_date TIMESTAMP
+        NOT NULL, condition_occurrence_count INT
+    """,
+    "episode": """
+        episode_id BIGINT NOT NULL, person_id BIGINT NOT NULL, episode_concept_id BIGINT NOT
+        NULL, episode_start_date TIMESTAMP NOT NULL, episode_start_timestamp TIMESTAMP,
+        episode_end_date TIMESTAMP, episode_end_timestamp TIMESTAMP, episode_parent_id BIGINT,
+        episode_number INT, episode_object_concept_id BIGINT NOT NULL, episode_type_concept_id
+        BIGINT NOT NULL, episode_source_value STRING, episode_source_concept_id BIGINT
+    """,
+    "episode_event": """
+        episode_id BIGINT NOT NULL, event_id BIGINT NOT NULL, episode_event_field_concept_id
+        BIGINT NOT NULL
+    """,
+    "metadata": """
+        metadata_id BIGINT NOT NULL, metadata_concept_id BIGINT NOT NULL,
+        metadata_type_concept_id BIGINT NOT NULL, name STRING NOT NULL, value_as_string STRING,
+        value_as_concept_id BIGINT, value_as_number FLOAT, metadata_date TIMESTAMP,
+        metadata_timestamp TIMESTAMP
+    """,
+    "cdm_source": """
+        cdm_source_name STRING NOT NULL, cdm_source_abbreviation STRING NOT NULL, cdm_holder
+        STRING NOT NULL, source_description STRING, source_documentation_reference STRING,
+        cdm_etl_reference STRING, source_release_date TIMESTAMP NOT NULL, cdm_release_date
+        TIMESTAMP NOT NULL, cdm_version STRING, cdm_version_concept_id BIGINT NOT NULL,
+        vocabulary_version STRING NOT NULL
+    """,
+    "concept": """
+        concept_id BIGINT NOT NULL, concept_name STRING NOT NULL, domain_id STRING NOT NULL,
+        vocabulary_id STRING NOT NULL, concept_class_id STRING NOT NULL, standard_concept
+        STRING, concept_code STRING NOT NULL, valid_start_date TIMESTAMP NOT NULL,
+        valid_end_date TIMESTAMP NOT NULL, invalid_reason STRING
+    """,
+    "vocabulary": """
+        vocabulary_id STRING NOT NULL, vocabulary_name STRING NOT NULL, vocabulary_reference
+        STRING, vocabulary_version STRING, vocabulary_concept_id BIGINT NOT NULL
+    """,
+    "domain": """
+        domain_id STRING NOT NULL, domain_name STRING NOT NULL, domain_concept_id BIGINT NOT
+        NULL
+    """,
+    "concept_class": """
+        concept_class_id STRING NOT NULL, concept_class_name STRING NOT NULL,
+        concept_class_concept_id BIGINT NOT NULL
+    """,
+    "concept_relationship": """
+        concept_id_1 BIGINT NOT NULL, concept_id_2 BIGINT NOT NULL, relationship_id STRING NOT
+        NULL, valid_start_date TIMESTAMP NOT NULL, valid_end_date TIMESTAMP NOT NULL,
+        invalid_reason STRING
+    """,
+    "relationship": """
+        relationship_id STRING NOT NULL, relationship_name STRING NOT NULL, is_hierarchical
+        STRING NOT NULL, defines_ancestry STRING NOT NULL, reverse_relationship_id STRING NOT
+        NULL, relationship_concept_id BIGINT NOT NULL
+    """,
+    "concept_synonym": """
+        concept_id BIGINT NOT NULL, concept_synonym_name STRING NOT NULL, language_concept_id
+        BIGINT NOT NULL
+    """,
+    "concept_ancestor": """
+        ancestor_concept_id BIGINT NOT NULL, descendant_concept_id BIGINT NOT NULL,
+        min_levels_of_separation INT NOT NULL, max_levels_of_separation INT NOT NULL
+    """,
+    "source_to_concept_map": """
+        source_code STRING NOT NULL, source_concept_id BIGINT NOT NULL, source_vocabulary_id
+        STRING NOT NULL, source_code_description STRING, target_concept_id BIGINT NOT NULL,
+        target_vocabulary_id STRING NOT NULL, valid_start_date TIMESTAMP NOT NULL,
+        valid_end_date TIMESTAMP NOT NULL, invalid_reason STRING
+    """,
+    "drug_strength": """
+        drug_concept_id BIGINT NOT NULL, ingredient_concept_id BIGINT NOT NULL, amount_value
+        FLOAT, amount_unit_concept_id BIGINT, numerator_value FLOAT, numerator_unit_concept_id
+        BIGINT, denominator_value FLOAT, denominator_unit_concept_id BIGINT, box_size INT,
+        valid_start_date TIMESTAMP NOT NULL, valid_end_date TIMESTAMP NOT NULL, invalid_reason
+        STRING
+    """,
+    "cohort": """
+        cohort_definition_id BIGINT NOT NULL, subject_id BIGINT NOT NULL, cohort_start_date
+        TIMESTAMP NOT NULL, cohort_end_date TIMESTAMP NOT NULL
+    """,
+    "cohort_definition": """
+        cohort_definition_id BIGINT NOT NULL, cohort_definition_name STRING NOT NULL,
+        cohort_definition_description STRING, definition_type_concept_id BIGINT NOT NULL,
+        cohort_definition_syntax STRING, subject_concept_id BIGINT NOT NULL,
+        cohort_initiation_date TIMESTAMP
+    """,
+    "datasus_person": """
+        person_id BIGINT NOT NULL, system_source_id INT NOT NULL, datasus_person_source_date
+        DATE NOT NULL, ingestion_timestamp TIMESTAMP NOT NULL, source_file STRING NOT NULL,
+        mother_birth_date DATE, mother_birth_date_source_value STRING, mother_years_of_study
+        STRING, mother_education_level STRING, mother_education_level_aggregated STRING,
+        mother_marital_status STRING, mother_age INT, mother_city_of_birth INT,
+        mother_state_of_birth INT, mother_race STRING, mother_elementary_school INT, father_age
+        INT, responsible_document_type INT, responsible_role_type INT,
+        place_of_birth_type_source_value STRING, care_site_of_birth_source_value INT,
+        mother_professional_occupation STRING, mother_country_of_origin INT,
+        number_of_dead_children INT, number_of_living_children INT,
+        number_of_previous_pregnancies INT, number_of_previous_cesareans INT,
+        number_of_previous_normal_born INT
+    """,
+    "datasus_death": """
+        person_id BIGINT NOT NULL, system_source_id INT NOT NULL, datasus_person_source_date
+        DATE NOT NULL, ingestion_timestamp TIMESTAMP NOT NULL, source_file STRING NOT NULL,
+        defunct_job_related_death INT, death_reason_changed INT, defunct_in_continuous_treatment
+        INT, defunct_city_of_birth INT, defunct_city_of_death INT, autopsy_city INT,
+        death_investigation_date TIMESTAMP, defunct_years_of_study STRING,
+        defunct_education_level STRING, defunct_education_level_aggregated STRING,
+        mother_years_of_study STRING, mother_education_level STRING,
+        mother_education_level_aggregated STRING, defunct_marital_status STRING, defunct_age
+        INT, mother_age INT, birth_death INT, defunct_main_occupation INT,
+        mother_professional_occupation STRING, number_of_dead_children INT,
+        number_of_living_children INT, defunct_elementary_school INT, mother_elementary_school
+        INT, death_investigation_level STRING, death_occurrence_time INT, death_investigated
+        STRING, death_additional_info INT, information_source STRING, investigation_source INT,
+        investigation_register_date TIMESTAMP, investigation_case_conclusion_date TIMESTAMP,
+        investigation_conclusion_date TIMESTAMP, investigation_date TIMESTAMP,
+        type_place_of_death INT, death_occurrence_time_2012 INT, death_cause_original STRING,
+        death_cause_previous STRING, physician_id STRING
+    """,
+    "datasus_climate": """
+        location_id BIGINT, city_code STRING, city_name STRING, state_code STRING,
+        state_abbreviation STRING, state_name STRING, region_code FLOAT, region_name STRING,
+        measurement_date STRING
+    """,
 }
 
 
-def _type_of(column: str) -> T.DataType:
-    if column.endswith("_id") and column not in _TEXT_IDS:
-        return _TYPES["long"]
-    if column.endswith(("_date", "_timestamp")):
-        return _TYPES["timestamp"]
-    return _TYPES["string"]
-
-
 def _field(text: str) -> T.StructField:
-    name, _, type_name = text.partition(":")
-    required = name.endswith("!")
-    name = name.rstrip("!")
-    return T.StructField(name, _TYPES[type_name] if type_name else _type_of(name), not required)
+    name, kind, *required = text.split()
+    return T.StructField(name, _TYPES[kind], not required)
 
 
 TABLES: dict[str, T.StructType] = {
-    table: T.StructType([_field(text) for text in columns.split()])
+    table: T.StructType([_field(text) for text in columns.split(",")])
     for table, columns in _TABLES.items()
 }
+# the climate table goes on with a column for each statistic and pollutant
+for _name in [
+    *(f"{v}_{s}_value" for v in CLIMATE_VARIABLES for s in CLIMATE_STATISTICS),
+    *POLLUTANTS,
+]:
+    TABLES["datasus_climate"].add(_name, T.FloatType())
 
 
 def table_schema(table: str) -> T.StructType:
