@@ -27,6 +27,7 @@ from vitalspan.llm import regions
 from vitalspan.llm.common import batch, documents, importable, written
 from vitalspan.llm.components import components
 from vitalspan.llm.hashing import mixed
+from vitalspan.llm.pair_index_bpe import gathered
 from vitalspan.llm.shingles import set_blocks, set_key
 
 #: Sorted orders, and values of 16 bits in each.
@@ -138,15 +139,22 @@ def _sets(size: int) -> Callable:
     return run
 
 
-def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar. Only documents that stand for a class in a pair are
+def sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame, size: int) -> DataFrame:
+    """Keys and full sets of the classes with ``keys``. Only documents that stand for one are
     read again."""
-    ends = pairs.select(F.col("a").alias("e")).unionByName(pairs.select(F.col("b").alias("e")))
-    wanted = classes.join(ends.distinct(), F.col("k") == F.col("e"), "left_semi")
+    wanted = classes.join(keys, F.col("k") == F.col("e"), "left_semi")
     ids = wanted.select(F.col("doc_id").alias("i"))
     texts = documents(docs)
     texts = texts.join(ids, F.col("doc_id") == F.col("i"), "left_semi")
-    sets = texts.mapInArrow(_sets(size), "k long, shingles binary").dropDuplicates(["k"])
+    return texts.mapInArrow(_sets(size), "k long, shingles binary").dropDuplicates(["k"])
+
+
+def confirmed(
+    docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """The pairs whose full sets are similar."""
+    ends = pairs.select(F.col("a").alias("e")).unionByName(pairs.select(F.col("b").alias("e")))
+    sets = sets_of(docs, classes, ends.distinct(), size)
     x = sets.select(F.col("k").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("k").alias("b"), F.col("shingles").alias("y"))
     return (
@@ -155,15 +163,154 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int,
     )
 
 
+class _Cell:
+    """Rows of a region that lie in one or two of its blocks."""
+
+    def __init__(self, rows: pa.RecordBatch | pa.Table, limits: regions.Bounds):
+        column = lambda name: rows.column(name).to_numpy()
+        self.tree = int(column("tree")[0])
+        self.root, self.k, self.n = (column(c) for c in ("root", "k", "n"))
+        bits = np.stack((column("b0"), column("b1")), axis=1).view(np.uint64)
+        self.root = self.root.copy()  # links change it
+        self.block = column("block")
+        self.region = regions.Region(self.root, self.k, self.n, bits, limits)
+        his = rows.column("his").combine_chunks()
+        self.his = np.asarray(his.flatten()).reshape(len(self.k), TREES)
+        self.one = int(column("x")[0]) == int(column("y")[0])
+
+    def candidates(self, i: int) -> np.ndarray:
+        """Earlier rows of other components that may be linked with row ``i``.
+
+        A pair belongs to the first order in which it shares a region, and there to one cell.
+        """
+        others = self.root[:i] != self.root[i]
+        if not self.one:
+            others &= self.block[:i] != self.block[i]
+        others, _ = self.region.near(i, np.flatnonzero(others))
+        before = self.his[others, : self.tree] == self.his[i, : self.tree]
+        return others[~before.any(axis=1)]
+
+
+def _cells(work: Callable[[_Cell, pa.Table], pa.RecordBatch], limits: regions.Bounds) -> Callable:
+    """Applies ``work`` to each cell of rows that are sorted by cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        own = None
+
+        def done() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            return work(_Cell(table, limits), table)
+
+        for part in batches:
+            keys = np.stack([part.column(c).to_numpy() for c in ("tree", "hi", "x", "y")], axis=1)
+            cut = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            bounds = [0, *cut.tolist(), len(part)]
+            for s, e in zip(bounds, bounds[1:]):
+                if s == e:
+                    continue
+                if held and tuple(keys[s]) != own:
+                    yield done()
+                    held.clear()
+                own = tuple(keys[s])
+                held.append(part.slice(s, e - s))
+        if held:
+            yield done()
+
+    return run
+
+
+def _active(cell: _Cell, rows: pa.Table) -> pa.RecordBatch:
+    """Rows of the cell that have a candidate."""
+    active = np.zeros(len(cell.k), bool)
+    for i in range(1, len(cell.k)):
+        found = cell.candidates(i)
+        active[found] = True
+        active[i] |= len(found) > 0
+    return rows.filter(pa.array(active)).combine_chunks().to_batches()[0] if active.any() else (
+        pa.RecordBatch.from_pylist([], schema=rows.schema)
+    )
+
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _linked(percent: int) -> Callable:
+    def work(cell: _Cell, rows: pa.Table) -> pa.RecordBatch:
+        """Links on full sets, until the cell's components are connected by them."""
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("shingles")]
+        sizes = np.array([len(s) for s in sets])
+        _, number = np.unique(np.concatenate(sets), return_inverse=True)
+        begins = np.concatenate(([0], np.cumsum(sizes)))
+        # rows that have a shingle, for each shingle
+        owners = np.repeat(np.arange(len(sets)), sizes)[np.argsort(number, kind="stable")]
+        first = np.concatenate(([0], np.cumsum(np.bincount(number))))
+        a, b = [], []
+        for i in range(1, len(sets)):
+            found = cell.candidates(i)
+            if not len(found):
+                continue
+            mine = number[begins[i] : begins[i + 1]]
+            shared, _ = gathered(owners, first[mine], first[mine + 1] - first[mine])
+            common = np.bincount(shared, minlength=len(sets))[found]
+            linked = found[100 * common >= percent * (sizes[i] + sizes[found] - common)]
+            for j in linked.tolist():
+                if cell.root[i] != cell.root[j]:
+                    a.append(min(cell.k[i], cell.k[j]))
+                    b.append(max(cell.k[i], cell.k[j]))
+                    cell.root[cell.root == cell.root[i]] = cell.root[j]
+        return batch(_LINKS, [np.array(a, np.int64), np.array(b, np.int64)])
+
+    return work
+
+
+#: Rows of a region that are compared in one task; larger regions are cut into blocks, and each
+#: pair of blocks is a cell.
+CELL_ROWS = 2048
+
+
+def compared(
+    docs: DataFrame, classes: DataFrame, rows: DataFrame, size: int, limits: regions.Bounds
+) -> DataFrame:
+    """Links between components of a region. Sets are moved to the rows instead of pairs to the
+    sets, as regions with several components can hold many candidates that are no links."""
+    keys = ["tree", "hi", "x", "y"]
+    many = rows.groupBy("tree", "hi").agg(F.ceil(F.count("*") / CELL_ROWS).alias("blocks"))
+    of_class = classes.select("k", F.transform("orders", lambda o: o["hi"]).alias("his"))
+    dealt = (
+        rows.join(many, ["tree", "hi"]).join(of_class, "k")
+        .withColumn("block", F.pmod("k", "blocks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("tree", "hi", F.least("block", "other").alias("x"),
+                F.greatest("block", "other").alias("y"), "block", "root", "k", "n", "b0", "b1", "his")
+    )
+    kinds = "tree int, hi long, x long, y long, block long, root long, k long, n long, b0 long, b1 long, his array<long>"
+    active = (
+        dealt.repartition(*keys).sortWithinPartitions(*keys, "k")
+        .mapInArrow(_cells(_active, limits), kinds)
+    )
+    active = written(active, "open-rows")
+    sets = sets_of(docs, classes, active.select(F.col("k").alias("e")).distinct(), size)
+    return (
+        active.join(sets, "k")
+        .select(*keys, "block", "root", "k", "n", "b0", "b1", "his", "shingles")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "k")
+        .mapInArrow(_cells(_linked(limits.percent), limits), "a long, b long")
+    )
+
+
 def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Confirmed links between classes."""
     rows = classes.select(F.posexplode("orders").alias("tree", "o"), "k", "n", "b0", "b1").select(
         "tree", "o.hi", "o.lo", "k", "n", "b0", "b1"
     )
+    limits = regions.Bounds(percent, AGREEING)
     return regions.links(
         rows,
-        regions.Bounds(percent, AGREEING),
+        limits,
         lambda pairs: confirmed(docs, classes, pairs, size, percent),
+        lambda left: compared(docs, classes, left, size, limits),
     )
 
 

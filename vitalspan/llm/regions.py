@@ -30,7 +30,7 @@ SMALL = 16
 NEAREST, HEADS, DEPTHS = 3, 16, 5
 
 
-def _agreement(bits: np.ndarray, others: np.ndarray) -> np.ndarray:
+def agreement(bits: np.ndarray, others: np.ndarray) -> np.ndarray:
     """How many of the 128 bits agree."""
     return 128 - np.bitwise_count(bits ^ others).sum(axis=-1, dtype=np.int64)
 
@@ -47,7 +47,7 @@ class Bounds:
         return sizes & (agree >= self.agreeing)
 
 
-class _Region:
+class Region:
     """Rows that share a tree and the first values, in sorted order."""
 
     def __init__(
@@ -57,13 +57,13 @@ class _Region:
 
     def near(self, i: int | np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Those of ``others`` that may be linked with row ``i``, and their agreement."""
-        agree = _agreement(self.bits[i], self.bits[others])
+        agree = agreement(self.bits[i], self.bits[others])
         fits = self.bounds.met(self.n[i], self.n[others], agree)
         return others[fits], agree[fits]
 
     def all_pairs(self) -> tuple[np.ndarray, np.ndarray]:
         i, j = np.triu_indices(len(self.k), 1)
-        agree = _agreement(self.bits[i], self.bits[j])
+        agree = agreement(self.bits[i], self.bits[j])
         fits = self.bounds.met(self.n[i], self.n[j], agree)
         return self.k[i[fits]], self.k[j[fits]]
 
@@ -122,11 +122,11 @@ def _scan(limits: Bounds) -> Callable:
             opening = False
             left = np.repeat(edge | (sizes > SMALL), sizes)
             two = starts[sizes == 2]
-            fits = limits.met(n[two], n[two + 1], _agreement(bits[two], bits[two + 1]))
+            fits = limits.met(n[two], n[two + 1], agreement(bits[two], bits[two + 1]))
             found = [(k[two[fits]], k[two[fits] + 1])]
             for s, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
                 part = slice(s, s + size)
-                region = _Region(lo[part], k[part], n[part], bits[part], limits)
+                region = Region(lo[part], k[part], n[part], bits[part], limits)
                 found.append(region.all_pairs() if size <= SMALL else region.nearest_pairs())
             yield pairs(*(np.concatenate(x) for x in zip(*found)))
             if left.any():
@@ -162,7 +162,7 @@ def _across(limits: Bounds) -> Callable:
 
         def compared() -> Iterator[pa.RecordBatch]:
             root, k, n, b0, b1 = (np.concatenate(x) for x in zip(*rows))
-            whole = _Region(root, k, n, np.stack((b0, b1), axis=1).view(np.uint64), limits)
+            whole = Region(root, k, n, np.stack((b0, b1), axis=1).view(np.uint64), limits)
             for i in range(1, len(k)):
                 others, _ = whole.near(i, np.flatnonzero(root[:i] != root[i]))
                 if len(others):
@@ -189,11 +189,17 @@ def _across(limits: Bounds) -> Callable:
 
 
 def links(
-    rows: DataFrame, limits: Bounds, confirmed: Callable[[DataFrame], DataFrame]
+    rows: DataFrame,
+    limits: Bounds,
+    confirmed: Callable[[DataFrame], DataFrame],
+    compared: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Confirmed links ``a``, ``b`` among rows of ``tree, hi, lo, k, n, b0, b1``.
 
     They connect whatever candidates connect: pairs inside a component may be missing.
+    ``confirmed`` has pairs of candidates and returns the true ones. For the second sweep
+    ``compared`` may return the links of the rows left over (``tree, hi, root, k, n, b0, b1``)
+    itself, where many candidates that are no links would make too many pairs.
     """
     importable(rows.sparkSession)
     order = ["tree", "hi", "lo", "k"]
@@ -217,9 +223,12 @@ def links(
         .select(F.col("tree").alias("t"), F.col("hi").alias("h"))
     )
     same = (F.col("tree") == F.col("t")) & (F.col("hi") == F.col("h"))
+    open_ = rest.join(several, same, "left_semi")
+    if compared is not None:
+        open_ = written(open_, "left-over")
+        return found if open_.isEmpty() else found.unionByName(compared(open_))
     across = (
-        rest.join(several, same, "left_semi")
-        .repartition("tree", "hi")
+        open_.repartition("tree", "hi")
         .sortWithinPartitions("tree", "hi", "root", "k")
         .mapInArrow(_across(limits), "a long, b long")
         .distinct()
