@@ -13,13 +13,13 @@ no rows.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vitalspan.llm.common import batch, documents, importable
 from vitalspan.llm.pair_index_bpe import encoded_rows
@@ -27,6 +27,9 @@ from vitalspan.llm.pair_index_bpe import encoded_rows
 #: Rows are numbered from the partition's number times this.
 ROWS_PER_TASK = 1 << 33
 
+#: Rows of the matrix that are handed over together.
+ROWS_AT_ONCE = 128
+
 
 class Rooms:
     """Segment tree over amounts of room 0 to ``size``: which of them some row has."""
@@ -115,8 +118,8 @@ def _packed(path: str, end_id: int | None, pad_id: int, size: int) -> Callable:
                     ids = np.insert(ids, begins[1:], end_id)
                     begins = begins + np.arange(len(begins))
                 rows = fitted(np.diff(begins), size)
-                for at in range(0, len(rows), 1024):
-                    some = rows[at : at + 1024]
+                for at in range(0, len(rows), ROWS_AT_ONCE):
+                    some = rows[at : at + ROWS_AT_ONCE]
                     matrix = np.full((len(some), size), pad_id, "<u4")
                     positions = np.zeros((len(some), size), "<u4")
                     lengths = []
@@ -157,28 +160,17 @@ def write(packed: DataFrame, path: str) -> None:
 
 
 def digests(packed: DataFrame) -> DataFrame:
-    """Pieces of packed rows, read back from the matrices, with checksums of ids and positions."""
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
-         ("row_id", pa.int64()), ("offset", pa.int64()), ("ids_crc32", pa.int64()),
-         ("resets", pa.bool_())]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            out: list[list] = [[] for _ in schema]
-            for row in rows.to_pylist():
-                ids, places = row["ids"], np.frombuffer(row["positions"], "<u4")
-                ends = row["cu_seqlens"]
-                for doc, start, i, j in zip(row["doc_ids"], row["starts"], ends, ends[1:]):
-                    counted = np.array_equal(places[i:j], np.arange(j - i))
-                    values = (doc, start, j - i, row["row_id"], i, zlib.crc32(ids[4 * i : 4 * j]),
-                              counted)
-                    for column, value in zip(out, values):
-                        column.append(value)
-            yield batch(schema, out)
-
-    names = "doc_id long, start long, length long, row_id long, offset long, ids_crc32 long"
-    return packed.select(
-        "row_id", "doc_ids", "starts", "cu_seqlens", "ids", "positions"
-    ).mapInArrow(run, names + ", resets boolean")
+    """Segments of packed rows, read back from the matrices, with checksums of ids and positions."""
+    k = F.explode(F.sequence(F.lit(0), F.size("doc_ids") - 1)).alias("k")
+    segments = packed.filter(F.size("doc_ids") > 0).select("*", k)
+    begin, end = F.col("cu_seqlens")[F.col("k")], F.col("cu_seqlens")[F.col("k") + 1]
+    part = lambda c: F.crc32(F.substr(c, 4 * begin + 1, 4 * (end - begin)))
+    return segments.select(
+        F.col("doc_ids")[F.col("k")].alias("doc_id"),
+        F.col("starts")[F.col("k")].alias("start"),
+        (end - begin).cast("long").alias("length"),
+        "row_id",
+        begin.cast("long").alias("offset"),
+        part("ids").alias("ids_crc32"),
+        part("positions").alias("positions_crc32"),
+    )
