@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalspan.session import scratch_path
+from vitalspan.session import delete_at_exit, scratch_path
 
 #: Text handled at once, which bounds the arrays that are several times as wide as the text.
 BLOCK_BYTES = 1 << 20
 
-#: Kernels that release what they allocate best work on whole Arrow batches of this many rows.
+#: Where this package lies.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -35,8 +35,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -48,6 +47,27 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bits of a key filter, however many keys there are.
+FILTER_BITS = 1 << 23
+
+
+def with_filter(df: DataFrame, keys: DataFrame, *columns: str, name: str = "maybe") -> DataFrame:
+    """``df`` with a column that is false only where ``columns`` are in no row of ``keys``.
+
+    The keys' hashes set bits of a table of fixed size (131,072 words at most), which is broadcast.
+    So most rows that a join would only drop, or leave alone, need not be moved; a join of the
+    others decides. With far more keys than bits the filter lets all rows pass.
+    """
+    bit = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
+    word, place = F.floor(bit / 64), (bit % 64).cast("int")
+    one = F.lit(1).cast("long")
+    words = keys.select(word.alias("w_"), F.call_function("shiftleft", one, place).alias("b_"))
+    words = words.groupBy("w_").agg(F.bit_or("b_").alias("b_"))
+    held = df.join(F.broadcast(words), word == F.col("w_"), "left")
+    found = F.coalesce(F.getbit("b_", place), F.lit(0).cast("byte")) == 1
+    return held.withColumn(name, found).drop("w_", "b_")
+
+
 def documents(docs: DataFrame, *more: str) -> DataFrame:
     """The columns an operator needs, whatever else the table has."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more)

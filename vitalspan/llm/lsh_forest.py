@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalspan.llm import regions
-from vitalspan.llm.common import batch, documents, importable, written
+from vitalspan.llm.common import batch, documents, importable, with_filter, written
 from vitalspan.llm.components import components
 from vitalspan.llm.hashing import mixed
 from vitalspan.llm.pair_index_bpe import gathered
@@ -142,10 +142,9 @@ def _sets(size: int) -> Callable:
 def sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame, size: int) -> DataFrame:
     """Keys and full sets of the classes with ``keys``. Only documents that stand for one are
     read again."""
-    wanted = classes.join(keys, F.col("k") == F.col("e"), "left_semi")
-    ids = wanted.select(F.col("doc_id").alias("i"))
-    texts = documents(docs)
-    texts = texts.join(ids, F.col("doc_id") == F.col("i"), "left_semi")
+    ids = written(classes.join(keys, F.col("k") == F.col("e"), "left_semi").select("doc_id"), "ids")
+    texts = with_filter(documents(docs), ids, "doc_id").filter("maybe").drop("maybe")
+    texts = texts.join(ids, "doc_id", "left_semi").select("doc_id", "text")
     return texts.mapInArrow(_sets(size), "k long, shingles binary").dropDuplicates(["k"])
 
 
@@ -345,6 +344,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 def accepted(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with all columns; of rows that repeat an id, all of that id."""
     verdicts = near_duplicates(docs, size, percent)
-    gone = verdicts.filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
-    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
-    return packed.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")
+    gone = written(verdicts.filter("NOT kept").select("doc_id").distinct(), "copies")
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    packed = with_filter(packed, gone, "doc_id")
+    left = packed.filter("maybe").join(gone, "doc_id", "left_anti")
+    return packed.filter("NOT maybe").select("row.*").unionAll(left.select("row.*"))
