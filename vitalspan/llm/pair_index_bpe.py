@@ -27,10 +27,10 @@ from vitalspan.llm.hashing import range_hashes
 from vitalspan.llm.hashing import words as blank_words
 
 #: Texts encoded together. The more, the fewer pre-tokens are encoded twice.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 6 << 20
 
 #: Distinct pieces that a worker remembers; it starts afresh beyond that.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 
 class PairIndex:
