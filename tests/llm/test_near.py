@@ -222,3 +222,11 @@ def test_set_keys_and_signatures_depend_on_sets_only():
     sets = [s[i:j].tolist() for i, j in zip(bounds, bounds[1:])]
     assert sets[0] == sets[2] and len(sets[0]) == 3 and len(sets[1]) == 1 and sets[3] == []
     assert len(sets[4]) == 6 and set(sets[0]) < set(sets[4])
+
+
+def test_short_lines_and_lines_without_blanks(spark):
+    long = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余成岁律吕调阳云腾致雨"
+    texts = ["And ornd.", "and ORND", "ok", "Ok!", "---", "---", long, long, "apples", "pear"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gone = {r["doc_id"] for r in fuzzy_lines.line_groups(docs).filter("NOT kept").collect()}
+    assert gone == {1, 3, 7}
