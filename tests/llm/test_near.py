@@ -224,9 +224,33 @@ def test_set_keys_and_signatures_depend_on_sets_only():
     assert len(sets[4]) == 6 and set(sets[0]) < set(sets[4])
 
 
+def test_lines_of_edit_similarity_alone_are_found(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9)))
+    lines = []
+    for _ in range(150):
+        line = [word() for _ in range(rng.randint(5, 40))]
+        lines.append(line)
+        for _ in range(2):
+            own = list(line)
+            for _ in range(max(1, len(own) // 10)):
+                own[rng.randrange(len(own))] = word()
+            lines.append(own)
+    texts = [" ".join(x) for x in lines]
+    pairs = [
+        (i, j) for j in range(len(texts)) for i in range(j)
+        if 100 * min(len(texts[i]), len(texts[j])) >= 80 * max(len(texts[i]), len(texts[j]))
+        if i // 3 == j // 3 and fuzzy_lines.similar(texts[i], texts[j])
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    group = {r["doc_id"]: r["group_id"] for r in fuzzy_lines.line_groups(docs).collect()}
+    found = sum(group[i] == group[j] for i, j in pairs)
+    assert len(pairs) > 300 and found >= 0.98 * len(pairs)
+
+
 def test_short_lines_and_lines_without_blanks(spark):
     long = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余成岁律吕调阳云腾致雨"
-    texts = ["And ornd.", "and ORND", "ok", "Ok!", "---", "---", long, long, "apples", "pear"]
+    texts = ["And ornd.", "and ORND", "ok", "Ok!", "---", "---", long, long, long.replace("日", "目"), "apples", "pear"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     gone = {r["doc_id"] for r in fuzzy_lines.line_groups(docs).filter("NOT kept").collect()}
-    assert gone == {1, 3, 7}
+    assert gone == {1, 3, 7, 8}
