@@ -254,3 +254,31 @@ def test_short_lines_and_lines_without_blanks(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     gone = {r["doc_id"] for r in fuzzy_lines.line_groups(docs).filter("NOT kept").collect()}
     assert gone == {1, 3, 7, 8}
+
+
+def test_large_regions_of_lines_are_compared_in_cells(spark, monkeypatch):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    texts = [f"{rng.randint(10, 99)} {rng.randint(10, 99)} {word()}" for _ in range(120)]
+    base = [word() for _ in range(25)]
+    for _ in range(40):
+        own = list(base)
+        own[rng.randrange(25)] = word()
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    classes = sorted({normal_line(t) for t in texts})
+    pairs = [
+        (a, b) for b, y in enumerate(classes) for a, x in enumerate(classes[:b])
+        if fuzzy_lines.similar(" ".join(x), " ".join(y))
+    ]
+    monkeypatch.setattr(fuzzy_lines, "SMALL", 4)
+    monkeypatch.setattr(fuzzy_lines, "CELL_ROWS", 16)
+    made, verified = [], fuzzy_lines.verified
+    monkeypatch.setattr(
+        fuzzy_lines, "verified", lambda d, c, p: made.append(p.count()) or verified(d, c, p)
+    )
+    group = {r["doc_id"]: r["group_id"] for r in fuzzy_lines.line_groups(docs).collect()}
+    assert sum(made) < 3 * len(texts)  # the region's 7,000 pairs leave no task
+    of = {normal_line(t): group[i] for i, t in enumerate(texts)}
+    found = sum(of[classes[a]] == of[classes[b]] for a, b in pairs)
+    assert len(pairs) > 700 and found >= 0.97 * len(pairs)
