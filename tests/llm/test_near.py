@@ -282,3 +282,15 @@ def test_large_regions_of_lines_are_compared_in_cells(spark, monkeypatch):
     of = {normal_line(t): group[i] for i, t in enumerate(texts)}
     found = sum(of[classes[a]] == of[classes[b]] for a, b in pairs)
     assert len(pairs) > 700 and found >= 0.97 * len(pairs)
+
+
+def test_rows_that_repeat_an_id_are_decided_by_their_own_text(spark):
+    rng = random.Random(6)
+    text = lambda: [str(rng.randint(0, 10**6)) for _ in range(60)]
+    one, two, three = text(), text(), text()
+    near = [*three[:-1], "x"]
+    rows = [(1, one), (5, one), (5, two), (7, three), (7, near), (7, near)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    left = [(r["doc_id"], r["text"].split()) for r in lsh_forest.accepted(docs).collect()]
+    assert (1, one) in left and (5, two) in left and (5, one) not in left
+    assert ((7, three) in left) != ((7, near) in left)

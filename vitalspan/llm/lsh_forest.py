@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitalspan.llm import regions
 from vitalspan.llm.common import batch, documents, importable, with_filter, written
@@ -313,8 +314,8 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     )
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of each document."""
+def _verdicts(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id``, ``n_shingles``, set key ``k``, ``component_id`` and ``kept`` of each document."""
     table = written(described(docs, size), "signatures")
     full = table.filter("n > 0 AND doc_id IS NOT NULL")
     members = full.groupBy("k").agg(F.min("doc_id").alias("first_id"))
@@ -336,16 +337,51 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     out = table.select("doc_id", F.col("n").alias("n_shingles"), key.alias("k"))
     out = out.join(component, F.col("k") == F.col("key"), "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
+    return out.select("doc_id", "n_shingles", "k", own.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
 
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of each document."""
+    return _verdicts(docs, size, percent).drop("k")
+
+
+def _with_keys(size: int) -> Callable:
+    """Rows of (row struct, id, text) as (row struct, id, set key)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for a, b, shingles, bounds in set_blocks(rows.column(2), size):
+                own = zip(bounds[:-1], bounds[1:])
+                keys = [set_key(shingles[i:j]) if j > i else None for i, j in own]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0).slice(a, b - a), rows.column(1).slice(a, b - a),
+                     pa.array(keys, pa.int64())],
+                    names=["row", "doc_id", "k"],
+                )
+
+    return run
+
+
 def accepted(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with all columns; of rows that repeat an id, all of that id."""
-    verdicts = near_duplicates(docs, size, percent)
-    gone = written(verdicts.filter("NOT kept").select("doc_id").distinct(), "copies")
-    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    """One document of each group, with all columns. Rows that repeat an id are decided by their own
+    sets, and of different sets of one id in a group one stays; rows that repeat both stay together.
+    """
+    verdicts = written(_verdicts(docs, size, percent).filter("k IS NOT NULL"), "verdicts")
+    standing = verdicts.filter("kept AND doc_id IS NOT NULL")
+    several = standing.groupBy("component_id").agg(F.min("k").alias("low"), F.max("k").alias("high"))
+    several = several.filter("low <> high").select(F.col("component_id").alias("c"), "low")
+    others = standing.join(several, F.col("component_id") == F.col("c")).filter("k <> low")
+    gone = verdicts.filter("NOT kept").select("doc_id", "k")
+    gone = written(gone.unionByName(others.select("doc_id", "k")).distinct(), "copies")
+    packed = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"
+    )
     packed = with_filter(packed, gone, "doc_id")
-    left = packed.filter("maybe").join(gone, "doc_id", "left_anti")
+    schema = T.StructType(
+        [packed.schema["row"], T.StructField("doc_id", T.LongType()), T.StructField("k", T.LongType())]
+    )
+    maybe = packed.filter("maybe").select("row", "doc_id", "text")
+    left = maybe.mapInArrow(_with_keys(size), schema).join(gone, ["doc_id", "k"], "left_anti")
     return packed.filter("NOT maybe").select("row.*").unionAll(left.select("row.*"))
