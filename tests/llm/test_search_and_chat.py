@@ -131,3 +131,10 @@ def test_stages_keep_the_columns_and_their_decisions(spark, sf_dir):
     whole = corpus_pipeline.run(spark, sf_dir).collect()
     key = lambda p: (p["doc_id"], p["doc_tokens"])
     assert {key(p) for p in whole} == {key(p) for p in pieces}
+
+
+def test_equal_rows_of_an_id_are_one_query(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 30)] + [(100, [1.0, 0.0])] * 2 + [(100, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = Counter((r["rank"], r["vec_id"]) for r in pivot_index.top_k(df, 10, 100).collect())
+    assert got == Counter([(i + 1, 29 - i) for i in range(10)] + [(i + 1, 1 + i) for i in range(10)])

@@ -10,8 +10,8 @@ are exact integer products; distances only decide what can be left out, with a m
 
 Vectors that are null or hold null or infinite components or NaN take no part, nor do rows without
 an id. Shorter vectors count as filled up with zeros. Ids tell rows apart: rows that repeat an id
-are all candidates of other ids' queries and each a query of its own, but not candidates of their
-own id. Ties go to smaller ids. An empty table gives no rows. Other columns are not read.
+are all candidates of other ids' queries but not of their own id's; each different vector of an id
+is a query of its own, which equal rows share. Ties go to smaller ids. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -294,7 +294,7 @@ def top_k(
     blocks = written(index(vectors, where, parts), "pivot-index").select(
         "part", F.lit(None).cast("long").alias("query"), "pivot", "least", "most", "ids", "x"
     )
-    queries = vectors.filter(F.col("vec_id") % every == 0).select(
+    queries = vectors.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "x"]).select(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"),
         F.xxhash64("vec_id", "x").alias("query"),
         F.lit(-1).alias("pivot"), F.lit(0.0).alias("least"), F.lit(0.0).alias("most"),
