@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
+import zipfile
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,14 +19,33 @@ from vitalspan.session import delete_at_exit, scratch_path
 BLOCK_BYTES = 1 << 20
 
 #: Where this package lies.
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+PACKAGE = Path(__file__).resolve().parent.parent
+
+_shipped: set[str] = set()
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it."""
-    have = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if ROOT not in have.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, have]))
+    """Ships this package to the Python workers, once a session.
+
+    Executors on other machines have no copy of the driver's folder. The archive lies in the shared
+    scratch folder, from where Spark hands it to every worker.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(PACKAGE.rglob("*.py")):
+            archive.write(file, file.relative_to(PACKAGE.parent))
+    name = scratch_path(spark, PACKAGE.name) + ".zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    stream = files.create(path)
+    stream.write(content.getvalue())
+    stream.close()
+    delete_at_exit(spark, name)
+    context.addPyFile(files.makeQualified(path).toString())
+    _shipped.add(context.applicationId)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
