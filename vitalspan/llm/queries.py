@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitalspan.llm import (
     chat_format,
+    fill_middle,
     fuzzy_lines,
     lsh_forest,
     pack_fit,
     pack_squares,
     pair_index_bpe,
     pivot_index,
+    prefix_trie,
     quality_qda,
     quality_rules,
+    substring_dedup,
     trie_counts,
 )
 
@@ -84,6 +87,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_chats(turns.unionByName(hostile)))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.transform(_table(spark, sf_dir, "documents")))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), size=20)
+    return substring_dedup.digests(removed)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = prefix_trie.conversations(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.paths(prefix_trie.rebuilt(chats, every=20, most=4)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_fit": op1_pack_fit,
     "op2_quality_rules": op2_quality_rules,
@@ -95,4 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack_squares": op8_pack_squares,
     "op9_pivot_index": op9_pivot_index,
     "op10_chat_format": op10_chat_format,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
