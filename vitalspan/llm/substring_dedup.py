@@ -41,11 +41,11 @@ from vitalspan.llm.common import (
 )
 from vitalspan.llm.hashing import mixed, range_hashes, words
 
-#: Text whose windows are hashed and sent off together.
+#: Text whose windows are sent off together; it is hashed in smaller parts.
 BLOCK_BYTES = 8 << 20
 
-#: Text for which a range of hashes is made; some 150 bytes of memory for each 6 bytes of it.
-RANGE_BYTES = 16 << 20
+#: Text for which a range of hashes is made; some 20 bytes of memory for each byte of it.
+RANGE_BYTES = 8 << 20
 
 #: Removed starts in a row on their way back.
 STARTS_PER_ROW = 1 << 20
@@ -137,13 +137,17 @@ def _packed(size: int, bits: int) -> Callable:
             keys = part.column(0).to_numpy()
             offsets, data = text_buffer(part.column(1))
             for a, b in row_blocks(offsets, BLOCK_BYTES):
-                lo, hi = offsets[a], offsets[b]
-                hashes, rows, starts = windows(offsets[a : b + 1] - lo, data[lo:hi], size)
-                if not len(hashes):
+                parts = []
+                for c, d in row_blocks(offsets[a : b + 1]):
+                    lo, hi = offsets[a + c], offsets[a + d]
+                    hashes, rows, starts = windows(offsets[a + c : a + d + 1] - lo, data[lo:hi], size)
+                    parts.append((hashes, keys[a + c : a + d][rows], starts))
+                own = tuple(np.concatenate(x) for x in zip(*parts))
+                if not len(own[0]):
                     continue
-                own = hashes, keys[a:b][rows], starts
                 repeats, first = later(*own)
-                places = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else rows * 0
+                places = own[0] >> np.uint64(64 - bits) if bits else own[0] * np.uint64(0)
+                places = places.astype(np.int64)
                 first = np.flatnonzero(first)
                 first = first[np.argsort(places[first], kind="stable")]
                 cuts = np.flatnonzero(np.diff(places[first])) + 1
