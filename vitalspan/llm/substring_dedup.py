@@ -42,11 +42,14 @@ from vitalspan.llm.common import (
 from vitalspan.llm.hashing import mixed, range_hashes, words
 
 #: Text whose windows are sent off together; it is hashed in smaller parts.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 #: Text for which a range of hashes is made; some 20 bytes of memory for each byte of it.
 RANGE_BYTES = 8 << 20
 
+#: Tasks that the ranges are dealt over, as long as there are as many ranges.
+MOST_TASKS = 20_000
+
 #: Removed starts in a row on their way back.
 STARTS_PER_ROW = 1 << 20
 
@@ -212,6 +215,8 @@ def repeated_windows(docs: DataFrame, size: int = 20) -> DataFrame:
     bits = max(0, (total // RANGE_BYTES).bit_length())
     schema = "place long, decided boolean, hashes binary, docs binary, starts binary"
     packed = docs.mapInArrow(_packed(size, bits), schema)
+    # about a range a task, whatever the session's numbers, so that sorting them takes little memory
+    packed = packed.repartition(min(1 << bits, MOST_TASKS), "place")
     return packed.groupBy("place").applyInArrow(_repeated, "doc long, starts binary, checks binary")
 
 
