@@ -50,12 +50,12 @@ RANGE_BYTES = 8 << 20
 #: Tasks that the ranges are dealt over, as long as there are as many ranges.
 MOST_TASKS = 20_000
 
-#: Removed starts in a row on their way back.
-STARTS_PER_ROW = 1 << 20
-
 #: Rows without an id get numbers from here on.
 LEAST_ID = -(1 << 63)
 
+#: The half of a hash that returns with a window.
+LOW = np.uint64((1 << 32) - 1)
+
 _BASE = 0xBF58476D1CE4E5B9
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -124,7 +124,7 @@ _PACKED = pa.schema(
     [("place", pa.int64()), ("decided", pa.bool_()), ("hashes", pa.binary()), ("docs", pa.binary()),
      ("starts", pa.binary())]
 )
-_REPEATED = pa.schema([("doc", pa.int64()), ("starts", pa.binary()), ("checks", pa.binary())])
+_REPEATED = pa.schema([("doc", pa.int64()), ("place", pa.int64())])
 
 
 def _packed(size: int, bits: int) -> Callable:
@@ -181,20 +181,8 @@ def _repeated(table: pa.Table) -> pa.Table:
         return _REPEATED.empty_table()
     hashes, docs, starts = (np.concatenate(x) for x in known)
     order = np.lexsort((starts, docs))
-    hashes, docs, starts = hashes[order].astype("<u4"), docs[order], starts[order].astype("<u4")
-    new = np.ones(len(docs), bool)
-    new[1:] = docs[1:] != docs[:-1]
-    new[::STARTS_PER_ROW] = True
-    begins = np.flatnonzero(new)
-    ends = np.append(begins[1:], len(docs)).tolist()
-    return pa.table(
-        [
-            pa.array(docs[begins]),
-            pa.array([starts[a:b].tobytes() for a, b in zip(begins.tolist(), ends)], pa.binary()),
-            pa.array([hashes[a:b].tobytes() for a, b in zip(begins.tolist(), ends)], pa.binary()),
-        ],
-        schema=_REPEATED,
-    )
+    places = (starts[order].astype(np.int64) << 32) | (hashes[order] & LOW).astype(np.int64)
+    return pa.table([pa.array(docs[order]), pa.array(places)], schema=_REPEATED)
 
 
 def _placed(docs: DataFrame) -> DataFrame:
@@ -204,10 +192,9 @@ def _placed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, size: int = 20) -> DataFrame:
-    """``doc, starts, checks``: where windows begin that an earlier one equals, by document.
+    """``doc, place``: each window that an earlier one equals.
 
-    ``starts`` are unsigned 32-bit numbers of words before the window, ``checks`` the lower halves of
-    their hashes. A document has a row for each range of hashes that it has such windows in.
+    ``place`` is the number of words before it, above 32 bits of its hash.
     """
     docs = _placed(docs).select("doc", "text")
     importable(docs.sparkSession)
@@ -217,7 +204,7 @@ def repeated_windows(docs: DataFrame, size: int = 20) -> DataFrame:
     packed = docs.mapInArrow(_packed(size, bits), schema)
     # about a range a task, whatever the session's numbers, so that sorting them takes little memory
     packed = packed.repartition(min(1 << bits, MOST_TASKS), "place")
-    return packed.groupBy("place").applyInArrow(_repeated, "doc long, starts binary, checks binary")
+    return packed.groupBy("place").applyInArrow(_repeated, "doc long, place long")
 
 
 _KEPT = pa.schema(
@@ -233,38 +220,38 @@ def intervals(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _kept(size: int) -> Callable:
-    def cover(raw: bytes, found: list[dict], n: int) -> np.ndarray:
-        starts, checks = (
-            np.frombuffer(b"".join(f[name] for f in found), "<u4") for name in ("starts", "checks")
-        )
+    def cover(raw: bytes, places: np.ndarray, n: int) -> np.ndarray:
+        starts, checks = places >> 32, (places & int(LOW)).astype(np.uint64)
         data = np.frombuffer(raw, np.uint8)
         # rows that share an id have their windows told apart by hash
         own, _, _ = windows(np.array([0, len(data)]), data, size)
         inside = starts < len(own)
-        starts, checks = starts[inside].astype(np.int64), checks[inside]
-        starts = starts[own[starts].astype(np.uint32) == checks]
+        starts, checks = starts[inside], checks[inside]
+        starts = starts[own[starts] & LOW == checks]
         change = np.bincount(starts, minlength=n + 1) - np.bincount(starts + size, minlength=n + 1)
         return np.cumsum(change)[:n] > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             offsets, data = text_buffer(part.column(1))
+            found = part.column(2)
+            edges, places = found.offsets.to_numpy(), found.values.to_numpy()
             for a, b in row_blocks(offsets):
-                keys, rows = part.column(0).slice(a, b - a), []
-                for i, found in zip(range(a, b), part.column(2).slice(a, b - a).to_pylist()):
+                rows = []
+                for i in range(a, b):
                     raw = data[offsets[i] : offsets[i + 1]].tobytes()
                     # bytes are split at 9 to 13 and 32
                     own, gone = raw.split(), ()
                     n = len(own)
-                    if found:
-                        covered = cover(raw, found, n)
+                    if edges[i] < edges[i + 1]:
+                        covered = cover(raw, places[edges[i] : edges[i + 1]], n)
                         begins, many = intervals(covered)
                         gone = [
                             {"start": s, "words": m} for s, m in zip(begins.tolist(), many.tolist())
                         ]
                         own = [w for w, c in zip(own, covered.tolist()) if not c]
                     rows.append((n, n - len(own), b" ".join(own), gone))
-                yield batch(_KEPT, [keys, *zip(*rows)])
+                yield batch(_KEPT, [part.column(0).slice(a, b - a), *zip(*rows)])
 
     return run
 
@@ -278,13 +265,10 @@ def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
     """
     repeated = written(repeated_windows(docs, size), "repeated")
     marked = with_filter(_placed(docs), repeated.select("doc"), "doc")
-    place = F.struct("starts", "checks")
-    of_document = repeated.groupBy("doc").agg(F.collect_list(place).alias("found"))
+    of_document = repeated.groupBy("doc").agg(F.collect_list("place").alias("found"))
     # texts without any repeat stay where they are
     moved = marked.where("maybe").join(of_document, "doc", "left")
-    still = marked.where("NOT maybe").withColumn(
-        "found", F.lit(None).cast(of_document.schema["found"].dataType)
-    )
+    still = marked.where("NOT maybe").withColumn("found", F.lit(None).cast("array<long>"))
     columns = ["doc_id", "text", "found"]
     schema = (
         "doc_id long, n_words long, n_removed long, kept binary, "
