@@ -123,8 +123,103 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+FILL_MIDDLE = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x
+  FROM documents
+), h AS (
+  SELECT *, ('0x' || x[1:8])::BIGINT % (n + 1) AS c1, ('0x' || x[9:16])::BIGINT % (n + 1) AS c2,
+    ('0x' || x[17:24])::BIGINT % 100 AS h3, ('0x' || x[25:32])::BIGINT % 100 AS h4
+  FROM d
+), c AS (
+  SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+    CASE WHEN n = 0 OR h3 >= 90 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+      THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+), p AS (
+  SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 19], ' ')) AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)
+), r AS (
+  SELECT doc_id, i FROM s QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM r, unnest(range(0, 20)) AS u(k)
+), dropped AS (
+  SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(array_to_string([x FOR x, i IN w IF gone IS NULL OR NOT list_contains(gone, i)], ' '))
+    AS kept_sha256
+FROM d LEFT JOIN dropped USING (doc_id)
+"""
+
+PREFIX_TRIE = r"""
+WITH crc AS (
+  SELECT DISTINCT conv_id, (list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''),
+      lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+      lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))
+  )) AS x FROM conversations WHERE conv_id IS NOT NULL
+), h AS (
+  SELECT conv_id, xor(x, 4294967295) % 4 AS h FROM crc
+), t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST,
+    md5(length(role)::VARCHAR || ':' || role || text)) AS turns
+  FROM t GROUP BY conv_id
+), p AS (
+  SELECT c.conv_id, list_concat(coalesce(o.turns[1 : h], []), c.turns[h + 1 :]) AS path
+  FROM c JOIN h USING (conv_id) LEFT JOIN c AS o ON o.conv_id = c.conv_id - c.conv_id % 20
+), m AS (
+  SELECT conv_id, len(path) AS len, d, md5(path[1 : d]::VARCHAR) AS k,
+    CASE WHEN d > 0 THEN md5(path[1 : d - 1]::VARCHAR) END AS parent,
+    CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS w
+  FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM p)
+), n AS (
+  SELECT k, d, any_value(parent) AS parent, any_value(w) AS w, count(*) AS n_convs,
+    min(conv_id) AS conv_id,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len = d), '') AS ends
+  FROM m GROUP BY k, d
+), kids AS (
+  SELECT parent AS k, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL
+), full_nodes AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (k, d)
+), below AS (
+  SELECT a.k, a.d, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * w) AS saved
+  FROM (SELECT DISTINCT a.k, a.d, b.k AS bk, b.d AS bd
+    FROM m AS a JOIN m AS b ON a.conv_id = b.conv_id AND b.d >= a.d) AS a
+  JOIN full_nodes ON full_nodes.k = bk AND full_nodes.d = bd
+  GROUP BY a.k, a.d
+)
+SELECT f.conv_id, f.d::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+  n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_nodes AS f JOIN below USING (k, d) LEFT JOIN full_nodes AS p ON p.k = f.parent AND p.d = f.d - 1
+"""
+
 STATEMENTS = {
     "op2_quality_rules": QUALITY_RULES,
     "op9_pivot_index": PIVOT_INDEX,
     "op10_chat_format": CHAT_FORMAT,
+    "op11_fill_middle": FILL_MIDDLE,
+    "op12_substring_dedup": SUBSTRING_DEDUP,
+    "op13_prefix_trie": PREFIX_TRIE,
 }
