@@ -546,7 +546,7 @@ def _register_vocabulary(name: str) -> None:
         folder = scratch_path(spark, "vocabulary")
         source = _vocabulary_source(spark, sf_dir, name)
         source.write.csv(f"{folder}/{name}.csv", sep="\t", header=True)
-        return vocabulary.read_vocabulary(spark, f"{folder}/{name}.csv", name)[0]
+        return vocabulary.read_vocabulary(spark, folder, name)[0]
 
     query(f"vocab_{name.lower()}")(run)
 
@@ -788,7 +788,10 @@ def ddl_script(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"SELECT k, t FROM {a}\n WHERE k % 2 = 0"
     )
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(script)
-    store.run_script(script)
+    try:
+        store.run_script(script)
+    finally:
+        spark.catalog.dropTempView(view)
     both = store.read("a").select(F.lit("a").alias("name"), "k", "t")
     both = both.unionByName(store.read("b").select(F.lit("b").alias("name"), "k", "t"))
     return both.groupBy("name", "t").agg(F.count(F.lit(1)).alias("rows"), F.sum("k").alias("total"))

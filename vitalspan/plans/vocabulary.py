@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalspan.functions.clean import VOCABULARY_DATE, plain_code, source_date
-from vitalspan.operators.conform import conform
-from vitalspan.operators.contract import split_complete
+from vitalspan.operators.key_filter import Bounds, observe_bounds, observed_bounds
 from vitalspan.operators.lookup import attach
 from vitalspan.schemas import required_columns, table_schema
+from vitalspan.session import delete_at_exit, scratch_path
 from vitalspan.sources.files import CORRUPT, read_typed_delimited
 
 # fixed values: the files of a vocabulary download, each named after its table, and what
@@ -41,12 +42,11 @@ def file_schema(name: str) -> T.StructType:
     )
 
 
-def read_vocabulary(
-    spark: SparkSession, paths: str | Sequence[str], name: str
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of the files of one table in its shape, and the lines that do not fit.
+def parsed_lines(spark: SparkSession, paths: str | Sequence[str], name: str) -> DataFrame:
+    """Every line of the files of one table, in its shape, with ``line`` and ``missing_columns``.
 
-    The download does not quote, so a quote is a character like others.
+    Both are null where the line fits. The download does not quote, so a quote is a character like
+    others.
     """
     schema = table_schema(name.lower())
     raw = read_typed_delimited(spark, paths, file_schema(name), quote="")
@@ -56,21 +56,72 @@ def read_vocabulary(
             return source_date(F.col(field.name), VOCABULARY_DATE)
         return F.col(field.name)
 
-    typed = conform(raw.where(F.col(CORRUPT).isNull()), schema, {f.name: value(f) for f in schema})
-    accepted, incomplete = split_complete(typed, required_columns(schema))
+    typed = raw.select(
+        *[value(f).cast(f.dataType).alias(f.name) for f in schema], F.col(CORRUPT).alias(CORRUPT)
+    )
+    lacking = F.concat_ws(
+        ",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required_columns(schema)]
+    )
+    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT)).when(lacking != "", lacking)
     record = F.to_json(F.struct(*schema.names))
-    # Spark refuses plans that read the broken lines alone, as a count would; the always true test
-    # keeps a second column in the scan
-    second = F.coalesce(F.col(schema.names[0]).cast("string"), F.lit("")) >= ""
-    broken = raw.where(F.col(CORRUPT).isNotNull() & second).select(
-        F.coalesce(F.col(CORRUPT), record).alias("line"), F.lit(CORRUPT).alias("missing_columns")
+    return typed.select(
+        *schema.names,
+        F.when(reason.isNotNull(), F.coalesce(F.col(CORRUPT), record)).alias("line"),
+        reason.alias("missing_columns"),
     )
-    rejected = incomplete.select(record.alias("line"), "missing_columns")
-    return accepted, rejected.unionByName(broken)
 
 
-def files_in(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """The paths of the vocabulary files below a folder. Names only; no content is read."""
+def read_vocabulary(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of one file of a folder in the shape of its table, and the lines that do not fit."""
+    lines = parsed_lines(spark, f"{folder}/{name}.csv", name)
+    accepted = lines.where("missing_columns IS NULL").select(*table_schema(name.lower()).names)
+    return accepted, lines.where("missing_columns IS NOT NULL").select("line", "missing_columns")
+
+
+class Staged(NamedTuple):
+    """The lines of a table's files, parsed once, and the key bounds of those that fit."""
+
+    accepted: DataFrame
+    bounds: list[Bounds]
+    rejected: DataFrame
+    rejected_bounds: list[Bounds]
+
+
+def stage_vocabulary(spark: SparkSession, paths: Sequence[str], name: str) -> Staged:
+    """Parses each line of the files once and writes it with its outcome as the partition.
+
+    What is read after that is Parquet, only the columns asked for. Rows and key bounds of both
+    outcomes are counted during the write.
+    """
+    lines = parsed_lines(spark, paths, name).withColumn("fits", F.col("missing_columns").isNull())
+    key, aside = FILES[name], ["line", "missing_columns"]
+    path, counts = scratch_path(spark, "vocabulary"), [Observation(), Observation()]
+    # bounds of keys of lines that fit, and of lines that don't
+    only = lines.select(
+        "*", *[F.when(F.col("fits"), F.col(c)).alias(f"key_{c}") for c in key]
+    )
+    observed = observe_bounds(only, counts[0], [f"key_{c}" for c in key])
+    observed = observe_bounds(observed, counts[1], aside)
+    observed = observed.observe(fitting := Observation(), F.count_if("fits").alias("rows"))
+    observed.drop(*[f"key_{c}" for c in key]).write.partitionBy("fits").parquet(path)
+    delete_at_exit(spark, path)
+    stored = spark.read.schema(lines.schema).parquet(path)
+    total, bounds = observed_bounds(counts[0], [f"key_{c}" for c in key])
+    _, rejected_bounds = observed_bounds(counts[1], aside)
+    accepted_rows = fitting.get["rows"]
+    # keys of the other lines were left out as nulls; a row that fits lacks none of its key
+    bounds = [Bounds(c, b.low, b.high, False) for c, b in zip(key, bounds)]
+    rejected_bounds = [b._replace(nulls=False) for b in rejected_bounds]
+    return Staged(
+        stored.where("fits").select(*table_schema(name.lower()).names),
+        bounds if accepted_rows else [],
+        stored.where("NOT fits").select(F.lit(name.lower()).alias("table_name"), *aside),
+        rejected_bounds if total > accepted_rows else [],
+    )
+
+
+def paths_in(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """The paths of the vocabulary files in a folder or below it. Names only; no content is read."""
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -89,6 +140,11 @@ def files_in(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     return {name: sorted(found[name]) for name in FILES if name in found}
 
 
+def files_in(spark: SparkSession, folder: str) -> list[str]:
+    """The names of the vocabulary files in a folder or below it."""
+    return list(paths_in(spark, folder))
+
+
 def code_to_concept(
     records: DataFrame, code: str, concept: DataFrame, vocabulary_id: str | None = None
 ) -> DataFrame:

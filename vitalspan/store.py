@@ -14,12 +14,28 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from vitalspan.operators.contract import enforce_required
+from vitalspan.operators.key_filter import (
+    Bounds,
+    may_hold,
+    observe_bounds,
+    observed_bounds,
+    overlaps,
+    within,
+)
 from vitalspan.operators.keys import next_key
 from vitalspan.schemas import TABLES
+from vitalspan.session import delete_at_exit, scratch_path
 from vitalspan.sources.files import read_text
 
 log = logging.getLogger(__name__)
 
+#: Key bounds of the files that each append of new rows wrote.
+HELD = "held_keys"
+HELD_SCHEMA = (
+    "table_name string, batch string, files array<string>, column_name string, low string, "
+    "high string, nulls boolean"
+)
+
 
 class TableStore:
     """Reads, appends, replaces and publishes the tables of one database (Parquet)."""
@@ -81,13 +97,15 @@ class TableStore:
 
         Nulls in required columns of a registered table fail the write as a whole.
         """
-        if table in TABLES:
-            df = enforce_required(df, TABLES[table])
         counter = Observation()
-        observed = df.observe(counter, F.count(F.lit(1)).alias("rows"))
-        observed.write.mode("append").format("parquet").saveAsTable(self.name(table))
+        self._write(df.observe(counter, F.count(F.lit(1)).alias("rows")), table)
         return counter.get["rows"]
 
+    def _write(self, df: DataFrame, table: str) -> None:
+        if table in TABLES:
+            df = enforce_required(df, TABLES[table])
+        df.write.mode("append").format("parquet").saveAsTable(self.name(table))
+
     def append_new(
         self, df: DataFrame, table: str, key: list[str], between: tuple[int, int] | None = None
     ) -> int:
@@ -96,15 +114,86 @@ class TableStore:
         Nulls in keys are equal to each other. Of arriving rows with the same key one comes in.
         ``between`` promises that the (single-column) key of ``df`` is unique and within that
         half-open range. Only such target rows are read then, and parquet statistics skip other
-        files.
+        files. Without it the arriving rows are written to the scratch folder first, which gives
+        the bounds of their keys.
         """
-        held = self.read(table).select(*key)
         if between is None:
-            df = one_per_key(df, key)
-        else:
-            held = held.where((F.col(key[0]) >= between[0]) & (F.col(key[0]) < between[1]))
+            return self.append_staged(*self.stage(df, table, key), table, key)
+        held = self.read(table).select(*key)
+        held = held.where((F.col(key[0]) >= between[0]) & (F.col(key[0]) < between[1]))
         return self.append(new_rows(df, held, key), table)
 
+    def stage(self, df: DataFrame, table: str, key: list[str]) -> tuple[DataFrame, list[Bounds]]:
+        """``df`` in the types of the table, written to the scratch folder, and its key bounds."""
+        columns = [f for f in self.read(table).schema if f.name in df.columns]
+        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns])
+        path, counter = scratch_path(self.spark, "arriving"), Observation()
+        observe_bounds(typed, counter, key).write.parquet(path)
+        delete_at_exit(self.spark, path)
+        rows, bounds = observed_bounds(counter, key)
+        return self.spark.read.schema(typed.schema).parquet(path), bounds if rows else []
+
+    def append_staged(
+        self, arriving: DataFrame, bounds: list[Bounds], table: str, key: list[str]
+    ) -> int:
+        """Appends the rows of a written frame whose key the table does not hold yet.
+
+        Held rows are looked for only in files whose stored key bounds meet those of the arriving
+        rows, and of these files only rows that a filter of the arriving keys lets through are
+        moved. Arriving rows are moved only where their key may come twice, or may be held.
+        """
+        if not bounds:
+            return 0
+        before = self._files(table)
+        files = self._files_that_may_hold(before, bounds, table)
+        twice = arriving.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        marked = may_hold(arriving, twice, key, "maybe_twice")
+        once = marked.where("NOT maybe_twice").drop("maybe_twice")
+        new = once.unionByName(one_per_key(marked.where("maybe_twice").drop("maybe_twice"), key))
+        if files:
+            schema = self.read(table).schema
+            stored = self.spark.read.schema(schema).parquet(*files).where(within(bounds, schema))
+            held = may_hold(stored.select(*key), arriving, key, "maybe").where("maybe").drop("maybe")
+            marked = may_hold(new, held, key, "maybe_held")
+            known = new_rows(marked.where("maybe_held"), held, key)
+            new = marked.where("NOT maybe_held").unionByName(known).drop("maybe_held")
+        counter = Observation()
+        self._write(observe_bounds(new, counter, key), table)
+        rows, written = observed_bounds(counter, key)
+        if rows:
+            self._remember(table, sorted(self._files(table) - before), written)
+        return rows
+
+    def _files(self, table: str) -> set[str]:
+        """The files of a table, as Spark's own listing has them."""
+        return set(self.read(table).inputFiles())
+
+    def _files_that_may_hold(
+        self, files: set[str], bounds: list[Bounds], table: str
+    ) -> list[str]:
+        """Files without stored key bounds, or with bounds that meet the given ones."""
+        if not files or not self.spark.catalog.tableExists(self.name(HELD)):
+            return sorted(files)
+        schema = self.read(table).schema
+        meets = F.lit(True)
+        for bound in bounds:
+            own = F.col("column_name") == bound.column
+            meets &= ~own | overlaps(bound, schema[bound.column].dataType)
+        apart = (
+            self.read(HELD)
+            .where((F.col("table_name") == table) & F.col("column_name").isin(*[b.column for b in bounds]))
+            .where(~meets)
+            .select(F.explode("files").alias("file"))
+        )
+        given = self.spark.createDataFrame([(name,) for name in sorted(files)], "file string")
+        return sorted(row.file for row in given.join(apart, "file", "left_anti").collect())
+
+    def _remember(self, table: str, files: list[str], bounds: list[Bounds]) -> None:
+        self.create(HELD, self.spark.createDataFrame([], HELD_SCHEMA).schema)
+        batch = uuid.uuid4().hex
+        rows = [(table, batch, files, *bound) for bound in bounds]
+        self._write(self.spark.createDataFrame(rows, HELD_SCHEMA).coalesce(1), HELD)
+
     def replace(self, df: DataFrame, table: str) -> None:
         """Replaces the contents of a table."""
         df.write.mode("overwrite").format("parquet").saveAsTable(self.name(table))
