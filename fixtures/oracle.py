@@ -710,6 +710,10 @@ UNION ALL SELECT DISTINCT NULL::VARCHAR, NULL::VARCHAR, date FROM climate""",
         "climate_flat_load": _with(CLIMATE)
         + """SELECT code_muni, date::TIMESTAMP AS day FROM climate
 UNION ALL SELECT DISTINCT NULL::VARCHAR, date::TIMESTAMP FROM climate""",
+        "climate_years_load": _with(CLIMATE)
+        + """SELECT (2024 + later)::INT AS year, count(*) + count(DISTINCT date) AS rows,
+  count(*) AS city_days, count(DISTINCT date) AS days
+FROM climate, range(3) AS r(later) GROUP BY later""",
         "vocabulary_load": """SELECT 'concept' AS table_name, count(*) AS rows FROM part
 UNION ALL SELECT 'rejected', count(*) FROM part
 UNION ALL SELECT 'concept_class', count(DISTINCT p_type) FROM part

@@ -729,6 +729,28 @@ def climate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.select("city_code", "city_name", F.col("measurement_date").alias("day"))
 
 
+@query("climate_years_load")
+def climate_years_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three years of flat climate files loaded one after the other, then all again.
+
+    A year's load has nothing to look for in the files of the others."""
+    store, path = _new_store(spark), _climate_path(spark, sf_dir, flat=True)
+    days, folders = read_parquet(spark, path), []
+    for later in range(3):
+        folder = scratch_path(spark, "climate-year")
+        moved = F.add_months(F.to_date("date"), 12 * later).cast(days.schema["date"].dataType)
+        days.withColumn("date", moved).write.parquet(folder)
+        folders.append(folder)
+    for given in [*folders, folders]:
+        load.load_climate_flat(store, given)
+    loaded = store.read("clima_flat").groupBy(F.year(F.to_date("date")).alias("year"))
+    return loaded.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("code_muni", "date").alias("city_days"),
+        F.count_distinct("date").alias("days"),
+    )
+
+
 @query("climate_flat_load")
 def climate_flat_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat layout, with repeats, loaded twice."""

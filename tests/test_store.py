@@ -1,9 +1,11 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 import records
 from pyspark.sql import functions as F
 
+from vitalspan.operators.key_filter import may_hold
 from vitalspan.operators.partitions import latest_partition, latest_table_partition
 from vitalspan.plans import births, load, summaries
 from vitalspan.schemas import TABLES
@@ -87,6 +89,79 @@ def test_append_new_takes_nulls_and_repeats_once(spark, store):
     assert store.append_new(frame, "t", ["a", "b"]) == 0
 
 
+def _days(spark, year, cities):
+    return spark.range(60).selectExpr(
+        f"id % {cities} AS city", f"date_add(date '{year}-01-01', int(id)) AS day",
+        "timestamp_seconds(id) AS at", "cast(id AS string) AS reading",
+    )
+
+
+@pytest.mark.parametrize("key", [["city", "day"], ["day"], ["day", "reading"]])
+def test_appends_look_into_files_that_can_match_only(spark, store, key):
+    store.create("days", _days(spark, 2020, 3).schema)
+    per_year = []
+    for year in (2020, 2021, 2022):
+        before = set(store.read("days").inputFiles())
+        staged, bounds = store.stage(_days(spark, year, 3), "days", key)
+        assert store.files_that_may_hold(before, bounds, "days") == []
+        assert store.append_staged(staged, bounds, "days", key) == 60
+        per_year.append(set(store.read("days").inputFiles()) - before)
+    files = set(store.read("days").inputFiles())
+    _, bounds = store.stage(_days(spark, 2022, 3).limit(7), "days", key)
+    assert set(store.files_that_may_hold(files, bounds, "days")) == per_year[2]
+    late = _days(spark, 2022, 3).where("day > date'2022-02-20'")
+    assert store.append_new(late, "days", key) == 0
+    more = late.unionByName(_days(spark, 2023, 3)).unionByName(_days(spark, 2023, 3))
+    assert store.append_new(more, "days", key) == 60
+    # files without bounds are always looked into
+    store.append(_days(spark, 2030, 3), "days")
+    assert store.append_new(_days(spark, 2030, 3), "days", key) == 0
+
+
+def test_bounds_of_nulls_texts_and_moments(spark, store):
+    schema = "at timestamp, name string, n decimal(9,2), x double"
+    rows = [(dt.datetime(2020, 1, 1, 5), "Zé", 1, 0.5), (None, "", None, None), (None, None, 2, -1.0)]
+    frame = spark.createDataFrame([(a, b, None if c is None else Decimal(c), d) for a, b, c, d in rows], schema)
+    for key in (["at"], ["name", "n"], ["x"], ["at", "name", "n", "x"]):
+        table = "t_" + "_".join(key)
+        store.create(table, frame.schema)
+        distinct = frame.select(*key).distinct().count()
+        assert store.append_new(frame, table, key) == distinct
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        try:
+            assert store.append_new(frame, table, key) == 0
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        other = frame.where("name is null").withColumns({c: F.lit(None).cast(frame.schema[c].dataType) for c in key})
+        assert store.append_new(other, table, key) == (key not in (["at"], ["x"]))
+
+
+def test_appends_move_matching_rows_only(spark, store):
+    """Of rows that are neither held nor repeated none is shuffled, nor are held rows that miss."""
+    many = spark.range(0, 3_000_000, 3, 4).selectExpr("id", "'x' AS v")
+    store.create("ids", many.schema)
+    store.append_new(many, "ids", ["id"])
+    some = spark.range(0, 3000).selectExpr("id", "'y' AS v")
+    held = store.read("ids")
+    moved = may_hold(held, some, ["id"], "maybe").where("maybe").count()
+    assert 1000 <= moved < 3000
+    assert store.append_new(some, "ids", ["id"]) == 2000
+    assert store.read("ids").where("v = 'x'").count() == 1_000_000
+
+
+def test_facilities_without_a_code_are_set_aside_once(spark, loaded, tmp_path):
+    path = tmp_path / "sites.csv"
+    header = ("CO_CNES;NO_RAZAO_SOCIAL;NO_LOGRADOURO;NU_ENDERECO;NO_COMPLEMENTO;NO_BAIRRO;"
+              "CO_MUNICIPIO_GESTOR;CO_ESTADO_GESTOR;CO_CEP;NU_LATITUDE;NU_LONGITUDE")
+    path.write_text(f"{header}\n77;A;R;1;;B;120040;12;69900;1;2\n;B;R;2;;B;120040;12;69900;1;2\n")
+    places = loaded.read("location").count()
+    for run in range(3):
+        outcome = load.load_facilities(loaded, str(path))
+        assert outcome["location"] == (run == 0)
+    assert loaded.read("location").count() == places + 1
+    assert [r.NO_RAZAO_SOCIAL for r in loaded.read("rejected_facilities").collect()] == ["B"]
+
+
 def test_statements_end_outside_quotes_and_comments():
     text = "a 'x;''y'; b -- c;\n; /* d; */ e `f;g`;; \"h\\\";\" ;\n-- last"
     assert split_statements(text) == ["a 'x;''y'", "b", "e `f;g`", '"h\\";"']

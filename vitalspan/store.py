@@ -6,6 +6,7 @@ import functools
 import logging
 import os
 import re
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -43,6 +44,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, database: str = "cdm", location: str | None = None):
         self.spark = spark
         self.database = database
+        self._one_writer = threading.Lock()
         where = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
 
@@ -145,18 +147,19 @@ class TableStore:
         if not bounds:
             return 0
         before = self._files(table)
-        files = self._files_that_may_hold(before, bounds, table)
-        twice = arriving.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        marked = may_hold(arriving, twice, key, "maybe_twice")
-        once = marked.where("NOT maybe_twice").drop("maybe_twice")
-        new = once.unionByName(one_per_key(marked.where("maybe_twice").drop("maybe_twice"), key))
+        files = self.files_that_may_hold(before, bounds, table)
+        twice = arriving.groupBy(*key).agg(F.count(F.lit(1)).alias("key_rows")).where("key_rows > 1")
+        suspect, held = twice.select(*key), None
         if files:
             schema = self.read(table).schema
             stored = self.spark.read.schema(schema).parquet(*files).where(within(bounds, schema))
-            held = may_hold(stored.select(*key), arriving, key, "maybe").where("maybe").drop("maybe")
-            marked = may_hold(new, held, key, "maybe_held")
-            known = new_rows(marked.where("maybe_held"), held, key)
-            new = marked.where("NOT maybe_held").unionByName(known).drop("maybe_held")
+            held = may_hold(stored.select(*key), arriving, key, "key_maybe").where("key_maybe").drop("key_maybe")
+            suspect = suspect.unionByName(held)
+        marked = may_hold(arriving, suspect, key, "key_suspect")
+        checked = one_per_key(marked.where("key_suspect").drop("key_suspect"), key)
+        if held is not None:
+            checked = new_rows(checked, held, key)
+        new = marked.where("NOT key_suspect").drop("key_suspect").unionByName(checked)
         counter = Observation()
         self._write(observe_bounds(new, counter, key), table)
         rows, written = observed_bounds(counter, key)
@@ -168,7 +171,7 @@ class TableStore:
         """The files of a table, as Spark's own listing has them."""
         return set(self.read(table).inputFiles())
 
-    def _files_that_may_hold(
+    def files_that_may_hold(
         self, files: set[str], bounds: list[Bounds], table: str
     ) -> list[str]:
         """Files without stored key bounds, or with bounds that meet the given ones."""
@@ -189,10 +192,12 @@ class TableStore:
         return sorted(row.file for row in given.join(apart, "file", "left_anti").collect())
 
     def _remember(self, table: str, files: list[str], bounds: list[Bounds]) -> None:
-        self.create(HELD, self.spark.createDataFrame([], HELD_SCHEMA).schema)
         batch = uuid.uuid4().hex
         rows = [(table, batch, files, *bound) for bound in bounds]
-        self._write(self.spark.createDataFrame(rows, HELD_SCHEMA).coalesce(1), HELD)
+        # tables may be appended to at the same time, but this one by one writer only
+        with self._one_writer:
+            self.create(HELD, T.StructType.fromDDL(HELD_SCHEMA))
+            self._write(self.spark.createDataFrame(rows, HELD_SCHEMA).coalesce(1), HELD)
 
     def replace(self, df: DataFrame, table: str) -> None:
         """Replaces the contents of a table."""
