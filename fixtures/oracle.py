@@ -532,6 +532,7 @@ def statements() -> dict[str, str]:
     sql = {
         "mortality_rates": _mortality(),
         "mortality_rates_of_model": _mortality(),
+        "mortality_rates_of_store": _mortality(),
         "births_by_state": _with(*BORN, CITY, BIRTHS_BY_STATE) + "SELECT * FROM births_by_state",
         "deaths_by_age_band": _with(*DIED, CITY, DEATHS_BY_STATE)
         + "SELECT * FROM deaths_by_state",

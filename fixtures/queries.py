@@ -140,6 +140,28 @@ def mortality_rates_of_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("mortality_rates_of_store")
+def mortality_rates_of_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over stored tables, partitioned by the year of the event and bucketed by person."""
+    location = adapters.city_dimension(spark, sf_dir)
+    care_site = adapters.care_site_dimension(spark, sf_dir)
+    store = TableStore(spark, f"vitalspan_{uuid.uuid4().hex[:12]}", scratch_path(spark, "store"))
+    store.create_tables(buckets=4)
+    born = _keyed_births(spark, sf_dir)
+    died = _keyed_deaths(spark, sf_dir, start=1 << 40)
+    store.append(births.person(born, location, care_site), "person")
+    store.append(deaths.person(died, location, care_site), "person")
+    store.append(births.extension(born), "datasus_person")
+    store.append(deaths.death(died), "death")
+    _append_cities(store, location)
+    return mortality.mortality_rates_of_store(store, REPORT_YEAR)
+
+
+def _append_cities(store: TableStore, cities: DataFrame) -> None:
+    values = {c: c for c in ("location_id", "city", "county", "location_source_value")}
+    store.append(conform(cities, table_schema("location"), values), "location")
+
+
 @query("births_by_state")
 def births_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = adapters.city_dimension(spark, sf_dir)
@@ -715,14 +737,7 @@ def _climate_path(spark: SparkSession, sf_dir: str, flat: bool) -> str:
 def climate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Climate days with repeats, loaded twice: one row of each city and day."""
     store, path = _new_store(spark), _climate_path(spark, sf_dir, flat=False)
-    store.append(
-        conform(
-            adapters.city_dimension(spark, sf_dir),
-            table_schema("location"),
-            {c: c for c in ("location_id", "city", "county", "location_source_value")},
-        ),
-        "location",
-    )
+    _append_cities(store, adapters.city_dimension(spark, sf_dir))
     load.load_climate(store, path)
     load.load_climate(store, path)
     loaded = store.read("datasus_climate")

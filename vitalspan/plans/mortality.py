@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,9 @@ from vitalspan.functions.rates import (
     rate_per_thousand,
 )
 
+if TYPE_CHECKING:
+    from vitalspan.store import TableStore
+
 INFANT_DAYS = 365
 UNDER_FIVE_DAYS = 1825
 
@@ -118,3 +124,20 @@ def mortality_rates_of_model(
     return mortality_rates(
         births_of_model(person, birth_extension), deaths_of_model(person, death), location, year
     )
+
+
+def mortality_rates_of_store(store: TableStore, year: int) -> DataFrame:
+    """The report over the stored tables.
+
+    Where they are clustered, births and their extension are read from the year's partition, deaths
+    from theirs, and of the other persons only those born recently enough to count, as nobody over
+    five years of age does. The joins by person need no exchange.
+    """
+    oldest = year - math.ceil(UNDER_FIVE_DAYS / 365)
+    born = births_of_model(
+        store.of_years("person", year, year), store.of_years("datasus_person", year, year)
+    )
+    died = deaths_of_model(
+        store.of_years("person", oldest, year), store.of_years("death", year, year)
+    )
+    return mortality_rates(born, died, store.read("location"), year)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from vitalspan.layouts import LAYOUTS, clustered_ddl
 from vitalspan.operators.contract import enforce_required
 from vitalspan.operators.key_filter import (
     Bounds,
@@ -58,10 +59,18 @@ class TableStore:
         if not self.spark.catalog.tableExists(self.name(table)):
             self.spark.catalog.createTable(self.name(table), source="parquet", schema=schema)
 
-    def create_tables(self) -> None:
-        """All registered tables."""
+    def create_tables(self, buckets: int | None = None) -> None:
+        """All registered tables.
+
+        With ``buckets`` the event tables are clustered: partitioned by the year of the event, with
+        so many buckets of persons in each. Choose it for the size of a bucket of a year, some
+        hundred MB; all event tables share it, or their joins would shuffle.
+        """
         for table, schema in TABLES.items():
-            self.create(table, schema)
+            if buckets and table in LAYOUTS:
+                self.spark.sql(clustered_ddl(self.name(table), schema, LAYOUTS[table], buckets))
+            else:
+                self.create(table, schema)
 
     def drop_tables(self) -> None:
         """All registered tables."""
@@ -88,8 +97,25 @@ class TableStore:
     # rows
 
     def read(self, table: str) -> DataFrame:
+        """The rows of a table, without the column that a clustered one is partitioned by."""
+        stored = self.scan(table)
+        return stored.drop(LAYOUTS[table].partition) if table in LAYOUTS else stored
+
+    def scan(self, table: str) -> DataFrame:
+        """The rows of a table as they are stored."""
         return self.spark.read.table(self.name(table))
 
+    def of_years(self, table: str, first: int, last: int) -> DataFrame:
+        """The rows of a clustered table whose event is in these years; other partitions stay shut.
+
+        Of a table that isn't clustered, all rows: whoever reads it has to look at the events too.
+        """
+        stored = self.scan(table)
+        partition = LAYOUTS[table].partition
+        if partition not in stored.columns:
+            return stored
+        return stored.where(F.col(partition).between(first, last)).drop(partition)
+
     def next_key(self, table: str, id_col: str, floor: int = 1) -> int:
         """The first free key of a table at or above ``floor``."""
         return next_key(self.read(table), id_col, floor)
@@ -106,6 +132,14 @@ class TableStore:
     def _write(self, df: DataFrame, table: str) -> None:
         if table in TABLES:
             df = enforce_required(df, TABLES[table])
+        if table in LAYOUTS:
+            layout, columns = LAYOUTS[table], self.scan(table).columns
+            if layout.partition in columns:
+                # the exchange has the buckets' own hash, so a bucket of a year is one file
+                rows = df.withColumn(layout.partition, F.expr(layout.value)).select(*columns)
+                rows = rows.repartition(self._buckets(table), layout.bucket)
+                rows.write.insertInto(self.name(table))
+                return
         df.write.mode("append").format("parquet").saveAsTable(self.name(table))
 
     def append_new(
@@ -167,6 +201,10 @@ class TableStore:
             self._remember(table, sorted(self._files(table) - before), written)
         return rows
 
+    def _buckets(self, table: str) -> int:
+        rows = self.spark.sql(f"DESCRIBE EXTENDED {self.name(table)}").collect()
+        return next(int(row.data_type) for row in rows if row.col_name == "Num Buckets")
+
     def _files(self, table: str) -> set[str]:
         """The files of a table, as Spark's own listing has them."""
         return set(self.read(table).inputFiles())
