@@ -518,12 +518,21 @@ _SUPPLIER_CODE = "lpad(s_suppkey::VARCHAR, 7, '0')"
 _SUPPLIER_RANK = f"row_number() OVER (ORDER BY {_SUPPLIER_CODE})"
 
 
-def _load(source: str, records: tuple[str, ...], tables: dict[str, int]) -> str:
+def _load(
+    source: str, event: str, records: tuple[str, ...], tables: dict[str, int], without_day: int = 0
+) -> str:
+    """Rows per table; the last ``without_day`` tables have no column with the day of the event."""
+    dated = len(tables) - without_day
     rows = "\nUNION ALL ".join(
-        f"SELECT '{table}' AS table_name, n * {width} AS rows, n * {width} AS distinct_keys FROM c"
-        for table, width in tables.items()
+        f"SELECT '{table}' AS table_name, n * {width} AS rows, n * {width} AS distinct_keys, "
+        f"n * {width if i < dated else 0} AS of_their_day, (days * {width})::BIGINT AS days FROM c"
+        for i, (table, width) in enumerate(tables.items())
+    )
+    counted = (
+        f"c AS (SELECT count(*)::BIGINT AS n, sum(date_diff('day', DATE '1970-01-01', "
+        f"{event}::DATE)) AS days FROM {source})"
     )
-    return _with(*records, f"c AS (SELECT count(*)::BIGINT AS n FROM {source})") + rows
+    return _with(*records, counted) + rows
 
 
 def statements() -> dict[str, str]:
@@ -667,6 +676,7 @@ FROM lineitem LEFT JOIN (
   count(*) AS in_their_file, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1""",
         "births_load": _load(
             "births",
+            "event_ts",
             BORN,
             {
                 "person": 1,
@@ -680,16 +690,18 @@ FROM lineitem LEFT JOIN (
         ),
         "deaths_load": _load(
             "deaths",
+            "death_ts",
             DIED,
             {
-                "person": 1,
-                "observation_period": 2,
                 "condition_occurrence": 10,
                 "procedure_occurrence": 8,
                 "measurement": 1,
                 "death": 1,
                 "datasus_death": 1,
+                "person": 1,
+                "observation_period": 2,
             },
+            without_day=2,
         ),
         "latest_table_partition": """WITH e AS (SELECT event_id,
     CASE WHEN event_id % 50 <> 0 THEN date_trunc('day', ts)::TIMESTAMP END AS day,

@@ -610,20 +610,24 @@ def folder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _load_summary(store: TableStore, tables: dict[str, str]) -> DataFrame:
-    """Rows and distinct keys of each table after a load."""
+def _load_summary(store: TableStore, tables: dict[str, tuple[str, str]], event: DataFrame) -> DataFrame:
+    """Rows and distinct keys of each table after a load, how many have the day of their person's
+    ``event``, and the sum of those days. Rows tied to another person would have another day."""
+    event = event.toDF("event_person", "event_ts")
+    day = F.to_date("event_ts")
     parts = [
-        store.read(table).agg(
+        store.read(table)
+        .join(event, F.col("person_id") == F.col("event_person"), "left")
+        .agg(
             F.lit(table).alias("table_name"),
             F.count(F.lit(1)).alias("rows"),
             F.count_distinct(key).alias("distinct_keys"),
+            F.count_if(F.to_date(F.expr(date)) == day).alias("of_their_day"),
+            F.sum(F.datediff(day, F.lit("1970-01-01").cast("date"))).alias("days"),
         )
-        for table, key in tables.items()
+        for table, (key, date) in tables.items()
     ]
-    summary = parts[0]
-    for part in parts[1:]:
-        summary = summary.unionByName(part)
-    return summary
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _new_store(spark: SparkSession) -> TableStore:
@@ -634,11 +638,11 @@ def _new_store(spark: SparkSession) -> TableStore:
 
 
 FACT_KEYS = {
-    "person": "person_id",
-    "observation_period": "observation_period_id",
-    "condition_occurrence": "condition_occurrence_id",
-    "procedure_occurrence": "procedure_occurrence_id",
-    "measurement": "measurement_id",
+    "person": ("person_id", "birth_timestamp"),
+    "observation_period": ("observation_period_id", "observation_period_start_date"),
+    "condition_occurrence": ("condition_occurrence_id", "condition_start_date"),
+    "procedure_occurrence": ("procedure_occurrence_id", "procedure_date"),
+    "measurement": ("measurement_id", "measurement_date"),
 }
 
 
@@ -650,10 +654,12 @@ def births_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     adapters.births(spark, sf_dir).drop("rec_id", "source_file", "source_row").write.parquet(path)
     load.load_births(store, path)
     load.load_births(store, path)
-    return _load_summary(
-        store,
-        {**FACT_KEYS, "observation": "observation_id", "datasus_person": "person_id"},
-    )
+    more = {
+        "observation": ("observation_id", "observation_date"),
+        "datasus_person": ("person_id", "datasus_person_source_date"),
+    }
+    event = store.read("person").select("person_id", "birth_timestamp")
+    return _load_summary(store, {**FACT_KEYS, **more}, event)
 
 
 @query("deaths_load")
@@ -665,7 +671,15 @@ def deaths_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         *adapters.DEATH_KEY, "source_file", "source_row"
     ).write.parquet(path)
     load.load_deaths(store, path)
-    return _load_summary(store, {**FACT_KEYS, "death": "person_id", "datasus_death": "person_id"})
+    more = {
+        "death": ("person_id", "death_timestamp"),
+        "datasus_death": ("person_id", "datasus_person_source_date"),
+        # neither has a day of the death
+        "person": ("person_id", "cast(null as date)"),
+        "observation_period": ("observation_period_id", "cast(null as date)"),
+    }
+    event = store.read("death").select("person_id", "death_timestamp")
+    return _load_summary(store, {**FACT_KEYS, **more}, event)
 
 
 @query("publish_table")

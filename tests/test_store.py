@@ -339,6 +339,24 @@ def test_dimension_loads(spark, loaded, tmp_path):
     assert (place.address_1, place.longitude, place.county) == ("RUA A 10", None, None)
 
 
+def test_only_files_with_rejects_are_read_in_full(spark, loaded, tmp_path, monkeypatch):
+    clean = [{"DTNASC": "03022011"}, {"DTNASC": "04022011"}]
+    records.births(spark, clean).coalesce(1).write.parquet(str(tmp_path / "clean"))
+    records.births(spark, [*clean, {"DTNASC": "31022011"}]).coalesce(1).write.parquet(
+        str(tmp_path / "mixed")
+    )
+    wide, scan = [], load._scan
+    monkeypatch.setattr(load, "_scan", lambda store, files: wide.append(len(files)) or scan(store, files))
+    assert load.load_births(loaded, str(tmp_path / "clean"))["rejected_births"] == 0
+    assert wide == [1]  # the batch's own scan, whose targets each read their columns
+    held = loaded.read("rejected_births").count()
+    counts = load.load_births(loaded, [str(tmp_path / "clean"), str(tmp_path / "mixed")])
+    assert (counts["person"], counts["rejected_births"]) == (2, 1) and wide == [1, 1, 1]
+    aside = loaded.read("rejected_births").where("source_file LIKE '%mixed%'").collect()
+    assert len(aside) == 1 and "31022011" in aside[0].record
+    assert loaded.read("rejected_births").count() == held + 1
+
+
 def test_climate_loads_add_new_days_only(spark, loaded, tmp_path):
     from test_plans import climate_row
 

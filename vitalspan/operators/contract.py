@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +15,22 @@ def _complete(columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in columns], F.lit(True))
 
 
-def split_complete(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with all of ``columns`` present, and the others with the name of what they lack."""
+def split_complete(
+    df: DataFrame, columns: list[str], seen: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with all of ``columns`` present, and the others with the name of what they lack.
+
+    With ``seen``, any write of the first also counts both kinds, and collects the names of the
+    files (``source_file``) that have any of the second.
+    """
     reason = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+    if seen is not None:
+        df = df.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(~_complete(columns)).alias("rejected"),
+            F.collect_set(F.when(~_complete(columns), F.col("source_file"))).alias("files"),
+        )
     accepted = df.where(_complete(columns))
     rejected = df.where(~_complete(columns)).withColumn("missing_columns", reason)
     return accepted, rejected

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vitalspan import lookups
@@ -24,9 +24,11 @@ def clean_births(raw: DataFrame) -> DataFrame:
     )
 
 
-def accepted_births(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cleaned records that can enter the tables, and those set aside."""
-    return split_complete(clean_births(raw), ["event_ts"])
+def accepted_births(
+    raw: DataFrame, seen: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Cleaned records that can enter the tables, and those set aside; ``seen`` counts both."""
+    return split_complete(clean_births(raw), ["event_ts"], seen)
 
 
 def person(keyed: DataFrame, location: DataFrame, care_site: DataFrame) -> DataFrame:
