@@ -1,0 +1,104 @@
+"""Edit distances of many pairs of texts at once, with columns of the table as bits of numbers."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+import numpy as np
+
+#: Pairs that are handled side by side.
+SIDE_BY_SIDE = 1024
+
+#: Characters of the shorter text up to which pairs are handled side by side.
+MOST_CHARACTERS = 1024
+
+#: Characters are counted by their number modulo this.
+BINS = 32
+
+
+class Texts:
+    """Texts as numbers of characters, laid end to end."""
+
+    def __init__(self, texts: Sequence[str]):
+        raw = [np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32) for t in texts]
+        self.texts = texts
+        self.lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        points = np.concatenate([np.zeros(0, np.uint32), *raw])
+        used, codes = np.unique(points, return_inverse=True)
+        self.codes, self.alphabet = codes.astype(np.int64), max(len(used), 1)
+        cells = np.repeat(np.arange(len(raw)), self.lengths) * BINS + points % BINS
+        self.counts = np.bincount(cells.astype(np.int64), minlength=len(raw) * BINS)
+        self.counts = self.counts.reshape(-1, BINS).astype(np.int32)
+
+    def least_edits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """A lower bound: an edit takes one character at most, and gives one."""
+        more = self.counts[a] - self.counts[b]
+        return np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+
+    def _distances(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Levenshtein distances of pairs whose first texts take equally many numbers of 64 bits.
+
+        The pairs come with the longest second text first, so those at their end are the last.
+        """
+        n, sizes, ends = len(a), self.lengths[a], self.lengths[b]
+        blocks = int((sizes[0] + 63) // 64)
+        own, pattern = np.unique(a, return_inverse=True)
+        many = self.lengths[own]
+        row = np.repeat(np.arange(len(own)), many)
+        place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        code = self.codes[np.repeat(self.starts[own], many) + place]
+        # a bit for each place of each character in each text
+        where = np.zeros((len(own), self.alphabet, blocks), np.uint64)
+        np.add.at(where, (row, code, place // 64), np.uint64(1) << (place % 64).astype(np.uint64))
+        one, top = np.uint64(1), np.uint64(63)
+        last = ((sizes - 1) % 64).astype(np.uint64)
+        up = np.full((blocks, n), ~np.uint64(0))
+        down = np.zeros((blocks, n), np.uint64)
+        distance = sizes.copy()
+        active = np.searchsorted(-ends, -np.arange(int(ends[0])), side="left")
+        for t, m in enumerate(active.tolist()):
+            equal_all = where[pattern[:m], self.codes[self.starts[b[:m]] + t]]
+            gives, takes = np.ones(m, np.uint64), np.zeros(m, np.uint64)
+            for w in range(blocks):
+                above, below, equal = up[w, :m], down[w, :m], equal_all[:, w]
+                vertical = equal | below
+                equal = equal | takes
+                diagonal = (((equal & above) + above) ^ above) | equal
+                rises, falls = below | ~(diagonal | above), above & diagonal
+                high = last[:m] if w == blocks - 1 else top
+                next_gives, next_takes = (rises >> high) & one, (falls >> high) & one
+                rises = (rises << one) | gives
+                up[w, :m] = (falls << one) | takes | ~(vertical | rises)
+                down[w, :m] = rises & vertical
+                gives, takes = next_gives, next_takes
+            distance[:m] += gives.astype(np.int64) - takes.astype(np.int64)
+        return distance
+
+    def similar(
+        self, a: np.ndarray, b: np.ndarray, percent: int, alone: Callable[[str, str], bool]
+    ) -> np.ndarray:
+        """Which pairs need edits for at most the rest of ``percent`` of the longer text.
+
+        Bounds of lengths and characters come first. Pairs of very long texts are left to ``alone``.
+        """
+        longer = np.maximum(self.lengths[a], self.lengths[b])
+        most = longer - (longer * percent + 99) // 100
+        out = (most >= np.abs(self.lengths[a] - self.lengths[b])) & (self.least_edits(a, b) <= most)
+        short = np.where(self.lengths[a] <= self.lengths[b], a, b)
+        long = a + b - short
+        out &= (self.lengths[short] > 0) | (longer == 0)
+        left = np.flatnonzero(out & (longer > 0))
+        big = self.lengths[short[left]] > MOST_CHARACTERS
+        for i in left[big].tolist():
+            out[i] = alone(self.texts[a[i]], self.texts[b[i]])
+        left = left[~big]
+        # pairs of like lengths together
+        blocks = (self.lengths[short[left]] + 63) // 64
+        left = left[np.lexsort((-self.lengths[long[left]], blocks))]
+        blocks = (self.lengths[short[left]] + 63) // 64
+        for group in np.split(left, np.flatnonzero(np.diff(blocks)) + 1):
+            for at in range(0, len(group), SIDE_BY_SIDE):
+                part = group[at : at + SIDE_BY_SIDE]
+                out[part] = self._distances(short[part], long[part]) <= most[part]
+        return out

@@ -27,10 +27,10 @@ from vitalspan.llm.hashing import range_hashes
 from vitalspan.llm.hashing import words as blank_words
 
 #: Texts encoded together. The more, the fewer pre-tokens are encoded twice.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 3 << 20
 
-#: Distinct pieces that a worker remembers; it starts afresh beyond that.
-REMEMBERED = 500_000
+#: Distinct pieces that a worker remembers, and ids of them; it starts afresh beyond that.
+REMEMBERED, REMEMBERED_IDS = 200_000, 2_000_000
 
 
 class PairIndex:
@@ -169,20 +169,36 @@ def lowered(flat: np.ndarray) -> np.ndarray:
 
 
 class Memory:
-    """Ids of byte ranges that were encoded before, by their hashes."""
+    """Ids of byte ranges that were encoded before, by their hashes.
+
+    Hashes lie in parts that are merged when the last is as large as the one before, so that adding
+    some seldom copies all.
+    """
 
     def __init__(self):
-        self.known = pd.Index(np.zeros(0, np.uint64))
+        self.parts: list[pd.Index] = []
         self.first = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def __len__(self) -> int:
+        return len(self.first) - 1
+
     def places(self, hashes: np.ndarray) -> np.ndarray:
-        return self.known.get_indexer(hashes)
+        out, begin = np.full(len(hashes), -1, np.int64), 0
+        for part in self.parts:
+            left = np.flatnonzero(out < 0)
+            found = part.get_indexer(hashes[left])
+            out[left] = np.where(found >= 0, found + begin, -1)
+            begin += len(part)
+        return out
 
     def add(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The places of the new ones."""
-        places = len(self.known) + np.arange(len(hashes))
-        self.known = pd.Index(np.concatenate((self.known.to_numpy(), hashes)))
+        places = len(self) + np.arange(len(hashes))
+        self.parts.append(pd.Index(hashes))
+        while len(self.parts) > 1 and len(self.parts[-1]) >= len(self.parts[-2]):
+            last = self.parts.pop()
+            self.parts[-1] = pd.Index(np.concatenate((self.parts[-1].to_numpy(), last.to_numpy())))
         self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(counts)))
         self.ids = np.concatenate((self.ids, ids.astype(np.uint32)))
         return places
@@ -201,16 +217,12 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model = content["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.word_ends: str = model.get("end_of_word_suffix") or ""
-        self.library = Tokenizer.from_file(path)
-        self.library.no_padding()
-        self.library.no_truncation()
+        self.path = path
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         ids = self.vocab
         self.index = PairIndex(
@@ -224,6 +236,16 @@ class Encoder:
         self.pieces = blank_words if self.word_ends else cut_pieces
         self.forget()
 
+    @functools.cached_property
+    def library(self):
+        """Loaded for the first piece that needs it."""
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        library.no_padding()
+        library.no_truncation()
+        return library
+
     def forget(self) -> None:
         self.whole, self.tokens = Memory(), Memory()
 
@@ -295,7 +317,7 @@ class Encoder:
         if not hashes or not sum(map(len, hashes)):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         codes, distinct = pd.factorize(np.concatenate(hashes))
-        if len(self.whole.known) > REMEMBERED:
+        if len(self.whole) > REMEMBERED or len(self.whole.ids) > REMEMBERED_IDS:
             self.forget()
         at = self.whole.places(distinct)
         fresh = np.flatnonzero(at < 0)
@@ -369,6 +391,8 @@ def encoded_rows(
         lo, hi = offsets[a], offsets[b]
         ids, begins = encoder(path).encode(offsets[a : b + 1] - lo, data[lo:hi])
         yield a, b, ids, begins
+    # a worker outlives its task, so it should not keep what the task's batches took
+    pa.default_memory_pool().release_unused()
 
 
 def _rows(path: str, keep: bool) -> Callable:
