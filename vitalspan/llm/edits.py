@@ -9,11 +9,16 @@ import numpy as np
 #: Pairs that are handled side by side.
 SIDE_BY_SIDE = 1024
 
-#: Characters of the shorter text up to which pairs are handled side by side.
-MOST_CHARACTERS = 1024
+#: Characters of the shorter text, without what both begin and end with, up to which pairs are
+#: handled side by side. Beyond that, Python's long integers do as well.
+MOST_CHARACTERS = 192
 
-#: Characters are counted by their number modulo this.
-BINS = 32
+#: Characters are counted by their number modulo the first, pairs of neighbours by a hash modulo the
+#: second.
+BINS, PAIR_BINS = 32, 256
+
+#: Pairs whose bounds are computed at once.
+BOUNDED_AT_ONCE = 8192
 
 
 class Texts:
@@ -31,25 +36,56 @@ class Texts:
         self.counts = np.bincount(cells.astype(np.int64), minlength=len(raw) * BINS)
         self.counts = self.counts.reshape(-1, BINS).astype(np.int32)
 
+        inside = np.ones(len(points), bool)
+        inside[(self.starts + self.lengths - 1)[self.lengths > 0]] = False
+        first = np.flatnonzero(inside)
+        pair = self.codes[first] * 40503 + self.codes[first + 1] * 9973
+        pair = (pair ^ (pair >> 7)) % PAIR_BINS
+        cells = np.repeat(np.arange(len(raw)), self.lengths)[first] * PAIR_BINS + pair
+        pairs = np.bincount(cells, minlength=len(raw) * PAIR_BINS).reshape(-1, PAIR_BINS)
+        self.pairs = np.minimum(pairs, 255).astype(np.int16)
+
     def least_edits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """A lower bound: an edit takes one character at most, and gives one."""
-        more = self.counts[a] - self.counts[b]
-        return np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+        """A lower bound: an edit takes one character at most, and gives one; of the pairs of
+        neighbours it takes two at most, and gives two."""
+        out = np.empty(len(a), np.int64)
+        for at in range(0, len(a), BOUNDED_AT_ONCE):
+            own = slice(at, at + BOUNDED_AT_ONCE)
+            more = self.counts[a[own]] - self.counts[b[own]]
+            least = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+            apart = np.abs(self.pairs[a[own]] - self.pairs[b[own]]).sum(axis=1, dtype=np.int64)
+            out[own] = np.maximum(least, (apart + 3) // 4)
+        return out
 
-    def _distances(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Levenshtein distances of pairs whose first texts take equally many numbers of 64 bits.
+    def may_be_similar(self, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+        """Pairs that the bounds do not rule out."""
+        longer = np.maximum(self.lengths[a], self.lengths[b])
+        return self.least_edits(a, b) <= longer - (longer * percent + 99) // 100
+
+    def _trimmed(self, a: int, b: int) -> tuple[int, int]:
+        """Characters that two texts have in common at their begin and, besides, at their end."""
+        m = int(min(self.lengths[a], self.lengths[b]))
+        s, t = int(self.starts[a]), int(self.starts[b])
+        differ = np.flatnonzero(self.codes[s : s + m] != self.codes[t : t + m])
+        begin = int(differ[0]) if len(differ) else m
+        s, t = s + int(self.lengths[a]), t + int(self.lengths[b])
+        differ = np.flatnonzero(self.codes[s - m + begin : s] != self.codes[t - m + begin : t])
+        return begin, m - begin - 1 - int(differ[-1]) if len(differ) else m - begin
+
+    def _distances(
+        self, a: np.ndarray, sizes: np.ndarray, b: np.ndarray, ends: np.ndarray
+    ) -> np.ndarray:
+        """Levenshtein distances of the ``sizes`` characters from ``a`` on and the ``ends`` from ``b``.
 
-        The pairs come with the longest second text first, so those at their end are the last.
+        All of ``sizes`` take equally many numbers of 64 bits, and ``ends`` do not rise, so those
+        that are through are the last.
         """
-        n, sizes, ends = len(a), self.lengths[a], self.lengths[b]
-        blocks = int((sizes[0] + 63) // 64)
-        own, pattern = np.unique(a, return_inverse=True)
-        many = self.lengths[own]
-        row = np.repeat(np.arange(len(own)), many)
-        place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-        code = self.codes[np.repeat(self.starts[own], many) + place]
+        n, blocks = len(a), int((sizes[0] + 63) // 64)
+        row = np.repeat(np.arange(n), sizes)
+        place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        code = self.codes[np.repeat(a, sizes) + place]
         # a bit for each place of each character in each text
-        where = np.zeros((len(own), self.alphabet, blocks), np.uint64)
+        where = np.zeros((n, self.alphabet, blocks), np.uint64)
         np.add.at(where, (row, code, place // 64), np.uint64(1) << (place % 64).astype(np.uint64))
         one, top = np.uint64(1), np.uint64(63)
         last = ((sizes - 1) % 64).astype(np.uint64)
@@ -58,7 +94,7 @@ class Texts:
         distance = sizes.copy()
         active = np.searchsorted(-ends, -np.arange(int(ends[0])), side="left")
         for t, m in enumerate(active.tolist()):
-            equal_all = where[pattern[:m], self.codes[self.starts[b[:m]] + t]]
+            equal_all = where[np.arange(m), self.codes[b[:m] + t]]
             gives, takes = np.ones(m, np.uint64), np.zeros(m, np.uint64)
             for w in range(blocks):
                 above, below, equal = up[w, :m], down[w, :m], equal_all[:, w]
@@ -85,20 +121,27 @@ class Texts:
         longer = np.maximum(self.lengths[a], self.lengths[b])
         most = longer - (longer * percent + 99) // 100
         out = (most >= np.abs(self.lengths[a] - self.lengths[b])) & (self.least_edits(a, b) <= most)
-        short = np.where(self.lengths[a] <= self.lengths[b], a, b)
-        long = a + b - short
-        out &= (self.lengths[short] > 0) | (longer == 0)
-        left = np.flatnonzero(out & (longer > 0))
-        big = self.lengths[short[left]] > MOST_CHARACTERS
-        for i in left[big].tolist():
-            out[i] = alone(self.texts[a[i]], self.texts[b[i]])
-        left = left[~big]
-        # pairs of like lengths together
-        blocks = (self.lengths[short[left]] + 63) // 64
-        left = left[np.lexsort((-self.lengths[long[left]], blocks))]
-        blocks = (self.lengths[short[left]] + 63) // 64
-        for group in np.split(left, np.flatnonzero(np.diff(blocks)) + 1):
-            for at in range(0, len(group), SIDE_BY_SIDE):
-                part = group[at : at + SIDE_BY_SIDE]
-                out[part] = self._distances(short[part], long[part]) <= most[part]
+        middle = []
+        for i in np.flatnonzero(out).tolist():
+            begin, end = self._trimmed(a[i], b[i])
+            own, other = (int(self.lengths[x]) - begin - end for x in (a[i], b[i]))
+            if max(own, other) <= most[i]:
+                continue
+            if min(own, other) == 0:
+                out[i] = False
+            elif min(own, other) > MOST_CHARACTERS:
+                out[i] = alone(self.texts[a[i]], self.texts[b[i]])
+            else:
+                x, y = int(self.starts[a[i]]) + begin, int(self.starts[b[i]]) + begin
+                middle.append((i, x, own, y, other) if own <= other else (i, y, other, x, own))
+        if middle:
+            place, x, own, y, other = (np.array(column) for column in zip(*middle))
+            # pairs of like lengths together
+            order = np.lexsort((-other, (own + 63) // 64))
+            groups = np.split(order, np.flatnonzero(np.diff((own[order] + 63) // 64)) + 1)
+            for group in groups:
+                for at in range(0, len(group), SIDE_BY_SIDE):
+                    p = group[at : at + SIDE_BY_SIDE]
+                    found = self._distances(x[p], own[p], y[p], other[p])
+                    out[place[p]] = found <= most[place[p]]
         return out
