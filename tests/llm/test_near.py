@@ -294,26 +294,3 @@ def test_rows_that_repeat_an_id_are_decided_by_their_own_text(spark):
     left = [(r["doc_id"], r["text"].split()) for r in lsh_forest.accepted(docs).collect()]
     assert (1, one) in left and (5, two) in left and (5, one) not in left
     assert ((7, three) in left) != ((7, near) in left)
-
-
-def test_many_edit_distances_at_once():
-    from vitalspan.llm.edits import Texts
-
-    rng = random.Random(11)
-    texts = []
-    for n in [0, 1, 5, 30, 63, 64, 65, 127, 128, 129, 300, 1100] * 15:
-        text = rng.choices("abcdé 日🙂", k=n)
-        other = list(text)
-        for _ in range(rng.randrange(max(1, n // 3))):
-            i = rng.randrange(len(other) + 1)
-            other[i : i + rng.randrange(2)] = rng.choice(["", "z", "q"])
-        texts += ["".join(text), "".join(other)]
-    held = Texts(texts)
-    pairs = [(i, i + 1) for i in range(0, len(texts), 2)]
-    pairs += [(rng.randrange(len(texts)), rng.randrange(len(texts))) for _ in range(200)]
-    a, b = (np.array(x) for x in zip(*pairs))
-    got = held.similar(a, b, 80, fuzzy_lines.similar)
-    for i, j, same in zip(a, b, got.tolist()):
-        x, y = texts[i], texts[j]
-        assert same == (not (x or y) or fuzzy_lines.similar(x, y))
-    assert got.any() and not got.all()
