@@ -294,3 +294,26 @@ def test_rows_that_repeat_an_id_are_decided_by_their_own_text(spark):
     left = [(r["doc_id"], r["text"].split()) for r in lsh_forest.accepted(docs).collect()]
     assert (1, one) in left and (5, two) in left and (5, one) not in left
     assert ((7, three) in left) != ((7, near) in left)
+
+
+def test_bounds_of_edit_distances():
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcé") for _ in range(rng.randint(1, 5)))
+    xs, ys = [], []
+    for _ in range(400):
+        own = [word() for _ in range(rng.randint(1, 12))]
+        other = list(own)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(other))
+            other[at : at + rng.randint(0, 2)] = [word() for _ in range(rng.randint(0, 2))]
+            other = other or [word()]
+        xs.append(" ".join(own))
+        ys.append(" ".join(other if rng.random() < 0.9 else [word() for _ in own]))
+    exact = [fuzzy_lines.edit_distance(x, y) for x, y in zip(xs, ys)]
+    above = [fuzzy_lines.edits_by_words(x, y, 10**6) for x, y in zip(xs, ys)]
+    below = fuzzy_lines.least_edits(fuzzy_lines.run_counts(xs), fuzzy_lines.run_counts(ys))
+    assert all(b <= e <= a for a, e, b in zip(above, exact, below.tolist()))
+    assert sum(a == e for a, e in zip(above, exact)) > 50 and max(below) > 0
+    want = [100 * e <= 20 * max(len(x), len(y)) for x, y, e in zip(xs, ys, exact)]
+    assert fuzzy_lines.pairs_similar(xs, ys).tolist() == want
+    assert 50 < sum(want) < 350 and fuzzy_lines.pairs_similar([], []).tolist() == []
