@@ -1,5 +1,6 @@
 """Quality rules and classifier."""
 
+import math
 import re
 import zlib
 
@@ -7,6 +8,7 @@ import numpy as np
 import pytest
 
 from vitalspan.llm import quality_qda, quality_rules
+from vitalspan.llm.queries import QUERIES
 from vitalspan.llm.statistics import text_statistics
 
 BLANK = "[\x20\x09-\x0d]"
@@ -125,3 +127,54 @@ def test_discriminant_is_the_density_ratio():
 
     ratio = log_density(1) - log_density(0) + np.log(301 / 802) - np.log(501 / 802)
     assert model.scores(point)[0] == pytest.approx(1 / (1 + np.exp(-ratio)))
+
+
+def plain_features(text):
+    text = text or ""
+    own = plain_counts(text)
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    seen, again = {}, set()
+    for i in range(len(words) - 2):
+        first = seen.setdefault(tuple(words[i : i + 3]), i)
+        if first != i:
+            again |= {first, first + 1, first + 2, i, i + 1, i + 2}
+    n, chars = max(len(words), 1), max(own["word_chars"], 1)
+    return [
+        math.log(1 + len(words)), math.log(1 + own["word_chars"] / n), math.sqrt(own["n_symbols"] / n),
+        math.sqrt(len(re.findall("[!?]", text)) / n), math.sqrt(own["n_upper"] / chars),
+        math.sqrt(len(again) / n), math.sqrt(own["n_dup_lines"] / n),
+        math.sqrt(len(re.findall("[0-9]", text)) / chars),
+        math.log(1 + own["n_distinct_words"]) - math.log(1 + len(words)),
+        math.sqrt(len(re.findall("[.,;:]", text)) / n), math.log(1 + n / max(own["n_lines"], 1)),
+    ]
+
+
+def test_whole_query_against_a_plain_version(spark, sf_dir):
+    """Features by regular expressions, covariances of the rows themselves, densities by solving."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").collect()
+    x = {i: np.array(plain_features(t)) for i, t in docs.items()}
+    out = {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in docs}
+    of = [
+        np.array([x[r["doc_id"]] for r in labels
+                  if r["quality"] == k and r["doc_id"] in x and not out[r["doc_id"]]])
+        for k in (0, 1)
+    ]
+    total = sum(map(len, of))
+    target = np.diag(np.maximum(np.concatenate(of).var(axis=0), 1e-6))
+    logs = {i: [] for i in x}
+    for rows in of:
+        own = np.cov(rows.T, bias=True)
+        scale = np.mean(np.diag(own) / np.diag(target))
+        shrunk = 0.9 * own + 0.1 * max(scale, 0.05) * target
+        constant = math.log((len(rows) + 1) / (total + 2)) - 0.5 * np.linalg.slogdet(shrunk)[1]
+        for i in x:
+            d = x[i] - rows.mean(axis=0)
+            logs[i].append(constant - 0.5 * d @ np.linalg.solve(shrunk, d))
+    want = {i: 1 / (1 + math.exp(min(max(bad - good, -700), 700))) for i, (bad, good) in logs.items()}
+    got = QUERIES["op6_quality_qda"](spark, sf_dir).collect()
+    assert len(got) == len(docs) and min(map(len, of)) > 1
+    for r in got:
+        assert r["held_out"] == out[r["doc_id"]]
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-4, abs=1e-9)
+        assert r["predicted"] == int(r["score"] >= 0.3)
