@@ -108,3 +108,30 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         session.scratch_path(Session(), "x")
+
+
+def test_keys_by_position_move_no_file_as_a_whole(spark, tmp_path, monkeypatch):
+    from vitalspan.operators import keys
+
+    path = str(tmp_path / "files")
+    spark.range(0, 100, 1, 3).write.parquet(path)
+    scan = with_lineage(read_parquet(spark, path))
+    kept = scan.where("id % 3 <> 0")
+
+    def keyed():
+        return assign_keys_by_position(kept, scan, "k").select("k", "id")
+
+    # even where Spark's own estimate would not broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = keyed()
+        text = few._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+        monkeypatch.setattr(keys, "MAX_BROADCAST_FILES", 2)
+        monkeypatch.setattr(keys, "BLOCK_ROWS", 7)
+        many = keyed()
+        text = many._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in text and "key_block" in text
+        assert few.exceptAll(many).isEmpty() and few.count() == many.count() == 66
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 
 from vitalspan.session import delete_at_exit, scratch_path
 
+# Offsets of up to this many files, some 200 bytes each, are broadcast.
+MAX_BROADCAST_FILES = 10_000
+# rows of a file that one key of the exchange stands for, where there are more files
+BLOCK_ROWS = 1 << 20
+
+
 def next_key(table: DataFrame, id_col: str, floor: int = 1) -> int:
     """The first free key of a table at or above ``floor``; ``floor`` itself for an empty one."""
     taken = table.where(F.col(id_col) >= floor).agg(F.max(id_col))
@@ -87,9 +93,21 @@ def assign_keys_by_position(
     record that was filtered out leaves its number unused. ``offsets`` are those of
     ``file_offsets``, if they are at hand; the caller may mark them for broadcast where it bounds
     the number of files.
+
+    Offsets taken here are broadcast, as Spark would exchange the records by file, a whole file to
+    one task, before it knew how few they are. Those of very many files are joined by blocks of
+    rows instead.
     """
-    offsets = file_offsets(scan) if offsets is None else offsets
-    keyed = records.join(offsets, F.col("source_file") == F.col("key_file"))
+    same = F.col("source_file") == F.col("key_file")
+    if offsets is None:
+        offsets = file_offsets(scan)
+        if len(scan.inputFiles()) <= MAX_BROADCAST_FILES:
+            offsets = F.broadcast(offsets)
+        else:
+            blocks = F.sequence(F.lit(0).cast("long"), F.expr(f"rows div {BLOCK_ROWS}"))
+            offsets = offsets.select("key_file", "rows_before", F.explode(blocks).alias("key_block"))
+            same &= F.expr(f"source_row div {BLOCK_ROWS}") == F.col("key_block")
+    keyed = records.join(offsets, same)
     return keyed.select(
         (F.lit(start) + F.col("rows_before") + F.col("source_row")).cast("long").alias(id_col),
         *records.columns,
