@@ -132,3 +132,24 @@ def test_clustered_tables_take_loads_and_resumed_loads(spark, tmp_path):
     with pytest.raises(Exception, match="required column death_date is null"):
         store.append(frame.withColumn("death_date", F.lit(None).cast("timestamp")), "death")
     store.drop_tables()
+
+
+def test_a_bucket_of_a_year_is_a_file_and_years_have_their_own_tasks(spark, tmp_path):
+    store = TableStore(spark, "t_dealt", str(tmp_path / "db"))
+    store.create_tables(buckets=1)
+    frame = conform(
+        spark.range(0, 4000, 1, 4), TABLES["death"],
+        {"person_id": "id", "death_date": "timestampadd(YEAR, id % 40, timestamp'1960-01-01')"},
+    )
+    adaptive = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(adaptive, "false")
+    try:
+        store.append(frame, "death")
+    finally:
+        spark.conf.unset(adaptive)
+    files = [file.split("/")[-1] for file in store.scan("death").inputFiles()]
+    assert len(files) == 40
+    # with one bucket, its rows of all years were in the same task
+    assert len({re.match(r"part-(\d+)", file).group(1) for file in files}) > 1
+    assert store.scan("death").count() == 4000
+    store.drop_tables()

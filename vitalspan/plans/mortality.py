@@ -104,16 +104,20 @@ def mortality_rates(
 
 
 def births_of_model(person: DataFrame, birth_extension: DataFrame) -> DataFrame:
-    """Persons that come from a birth record."""
+    """Persons that come from a birth record.
+
+    Both sides grow with the records. The join is a sorted one, because Spark takes one column of a
+    wide stored table for so small that it would broadcast millions of persons.
+    """
     return person.select("person_id", "location_id", "birth_timestamp").join(
-        birth_extension.select("person_id"), "person_id", "left_semi"
+        birth_extension.select("person_id").hint("merge"), "person_id", "left_semi"
     )
 
 
 def deaths_of_model(person: DataFrame, death: DataFrame) -> DataFrame:
     """Persons with their death. A birth and a death record are two persons; they are not linked."""
     return person.select("person_id", "location_id", "birth_timestamp").join(
-        death.select("person_id", "death_timestamp"), "person_id"
+        death.select("person_id", "death_timestamp").hint("merge"), "person_id"
     )
 
 

@@ -135,9 +135,11 @@ class TableStore:
         if table in LAYOUTS:
             layout, columns = LAYOUTS[table], self.scan(table).columns
             if layout.partition in columns:
-                # the exchange has the buckets' own hash, so a bucket of a year is one file
+                # the buckets' own hash, so a bucket of a year is one file; the years are dealt too,
+                # or a task would sort a bucket of all years
                 rows = df.withColumn(layout.partition, F.expr(layout.value)).select(*columns)
-                rows = rows.repartition(self._buckets(table), layout.bucket)
+                bucket = F.pmod(F.hash(layout.bucket), F.lit(self._buckets(table)))
+                rows = rows.repartition(layout.partition, bucket)
                 rows.write.insertInto(self.name(table))
                 return
         df.write.mode("append").format("parquet").saveAsTable(self.name(table))
