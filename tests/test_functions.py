@@ -161,3 +161,18 @@ def test_no_grain_and_unknown_grain(spark):
 def test_lookups(spark):
     states = lookups.states(spark)
     assert states.count() == states.select("state_code").distinct().count() == 27
+
+
+def test_source_dates_are_those_of_the_pattern(spark):
+    """Eight digits take another way than other texts, and give the same; they see no formatter."""
+    from vitalspan.functions.clean import VOCABULARY_DATE, source_date
+
+    texts = ["20000229", "19000229", "31129999", "00000101", "01010000", "1012000", "15821010", "x", "",
+             None, "2000 101", "+1231999", "123456789", "20001301", "30022000", "00010101", "٢٠٢٠٠١٠١"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    for pattern in ("ddMMyyyy", VOCABULARY_DATE):
+        old = F.try_to_timestamp(F.lpad("t", 8, "0"), F.lit(pattern)).cast("date")
+        both = frame.select("t", source_date(F.col("t"), pattern).cast("string"), old.cast("string"))
+        for text, new, expected in both.collect():
+            assert new == expected, text
+    assert "concat_ws" in source_date(F.col("t"))._jc.toString()

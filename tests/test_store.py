@@ -518,3 +518,38 @@ def test_store_without_location(spark):
     store.replace(spark.range(1), "one")
     assert store.read("one").count() == 1
     spark.sql("DROP DATABASE plain_store CASCADE")
+
+
+@pytest.mark.parametrize("limit", [0, 3, 1000])
+def test_new_rows_are_the_same_with_and_without_filters(spark, store, monkeypatch, limit):
+    """Held rows and repeats stay out whatever number of keys filters are made for."""
+    from vitalspan import store as stores
+
+    monkeypatch.setattr(stores, "FILTER_KEYS", limit)
+    schema = "a long, b string, v int"
+    held = [(1, "x", 0), (2, None, 0), (None, None, 0), (9, "y", 0)]
+    store.create("kept", spark.createDataFrame([], schema).schema)
+    assert store.append_new(spark.createDataFrame(held, schema), "kept", ["a", "b"]) == 4
+    rows = [(1, "x", 5), (1, "z", 4), (1, "z", 3), (2, None, 1), (None, None, 2), (None, "x", 7),
+            (3, "x", 1), (3, "x", None)]
+    assert store.append_new(spark.createDataFrame(rows, schema), "kept", ["a", "b"]) == 3
+    assert store.append_new(spark.createDataFrame(rows, schema), "kept", ["a", "b"]) == 0
+    found = {tuple(r) for r in store.read("kept").collect()}
+    assert found == {*held, (1, "z", 3), (None, "x", 7), (3, "x", 1)}
+    plain = [(r, "p", 1) for r in (1, 1, 20, 9)]
+    assert store.append_new(spark.createDataFrame(plain, schema), "kept", ["a", "b"]) == 3
+
+
+def test_staged_lines_are_not_sorted_and_counted_once(spark, tmp_path, monkeypatch):
+    from vitalspan.plans import vocabulary
+
+    header, seen = "domain_id\tdomain_name\tdomain_concept_id\n", []
+    (tmp_path / "DOMAIN.csv").write_text(header + "B\tb\t2\nA\ta\t1\nX\tx\tnone\n")
+    frame = type(spark.range(0))
+    right = frame.observe
+    monkeypatch.setattr(frame, "observe", lambda df, *a: seen.append(1) or right(df, *a))
+    staged = vocabulary.stage_vocabulary(spark, [str(tmp_path / "DOMAIN.csv")], "DOMAIN")
+    assert len(seen) == 1 and not any("fits=" in f for f in staged.accepted.inputFiles())
+    assert [b[1:3] for b in staged.bounds] == [("A", "B")]
+    assert staged.accepted.count() == 2 and staged.rejected.count() == 1
+    assert staged.rejected_bounds[1][1:] == ("_corrupt_record", "_corrupt_record", False)

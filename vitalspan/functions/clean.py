@@ -35,8 +35,17 @@ def event_timestamp(date: Column, clock: Column | None = None) -> Column:
 
 
 def source_date(date: Column, pattern: str = SOURCE_DATE) -> Column:
-    """Date of a digit string, null where it is no date."""
-    return F.try_to_timestamp(F.lpad(date, 8, "0"), F.lit(pattern)).cast("date")
+    """Date of a digit string, null where it is no date.
+
+    Eight digits are put in the order that a cast reads, which takes a fraction of the time of a
+    pattern; the year 0000, which only a cast takes for one, and other texts are left to the pattern.
+    """
+    year, month, day = (
+        F.substring(date, pattern.index(part) + 1, len(part)) for part in ("yyyy", "MM", "dd")
+    )
+    plain = date.rlike(EIGHT_DIGITS) & (year != "0000")
+    parsed = F.try_to_timestamp(F.lpad(date, 8, "0"), F.lit(pattern)).cast("date")
+    return F.when(plain, F.concat_ws("-", year, month, day).try_cast("date")).otherwise(parsed)
 
 
 def with_parsed(df: DataFrame, name: str, value: Column) -> DataFrame:

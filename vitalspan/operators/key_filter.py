@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 #: Bits of a filter: one megabyte in 131,072 words.
 FILTER_BITS = 1 << 23
+#: Keys up to which a filter is worth its making: it then rules out three of four others at least.
+FILTER_KEYS = FILTER_BITS // 4
 
 
 class Bounds(NamedTuple):
@@ -26,16 +28,25 @@ class Bounds(NamedTuple):
     nulls: bool
 
 
-def may_hold(df: DataFrame, keys: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+def _place(hashed: Column) -> tuple[Column, Column]:
+    """The word of a filter, and the bit in it, that stand for the hash of a key."""
+    bit = F.pmod(hashed, F.lit(FILTER_BITS))
+    return F.floor(bit / 64).cast("long"), (bit % 64).cast("int")
+
+
+def may_hold(
+    df: DataFrame, keys: DataFrame, columns: Sequence[str], name: str, hashed: str | None = None
+) -> DataFrame:
     """``df`` with ``name``: false where ``columns`` are in no row of ``keys`` for sure.
 
-    Nulls are equal to each other. The columns need the same types on both sides. With far more
-    keys than bits the filter holds everything.
+    Nulls are equal to each other. The columns need the same types on both sides; ``keys`` may have
+    their ``xxhash64`` instead, as column ``hashed``. With far more keys than bits the filter holds
+    everything.
     """
-    bit = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
-    word, place = F.floor(bit / 64).cast("long"), (bit % 64).cast("int")
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), place)
-    words = keys.groupBy(word.alias("filter_word")).agg(F.bit_or(one).alias("filter_bits"))
+    word, place = _place(F.xxhash64(*columns))
+    own_word, own_place = _place(F.col(hashed) if hashed else F.xxhash64(*columns))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), own_place)
+    words = keys.groupBy(own_word.alias("filter_word")).agg(F.bit_or(one).alias("filter_bits"))
     joined = df.join(F.broadcast(words), word == F.col("filter_word"), "left")
     found = F.getbit(F.coalesce("filter_bits", F.lit(0).cast("long")), place) == 1
     return joined.withColumn(name, found).drop("filter_word", "filter_bits")
@@ -56,9 +67,11 @@ def _bound_text(column: Column, kind: T.DataType) -> Column:
     return value.cast("string")
 
 
-def observe_bounds(df: DataFrame, observation: Observation, key: Sequence[str]) -> DataFrame:
-    """``df``, whose rows and key bounds are counted as it is written."""
-    metrics = [F.count(F.lit(1)).alias("rows")]
+def observe_bounds(
+    df: DataFrame, observation: Observation, key: Sequence[str], *more: Column
+) -> DataFrame:
+    """``df``, whose rows and key bounds, and ``more``, are counted as it is written."""
+    metrics = [F.count(F.lit(1)).alias("rows"), *more]
     for i, name in enumerate(key):
         kind = df.schema[name].dataType
         metrics += [

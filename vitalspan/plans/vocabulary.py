@@ -88,27 +88,27 @@ class Staged(NamedTuple):
 
 
 def stage_vocabulary(spark: SparkSession, paths: Sequence[str], name: str) -> Staged:
-    """Parses each line of the files once and writes it with its outcome as the partition.
+    """Parses each line of the files once and writes it with its outcome.
 
     What is read after that is Parquet, only the columns asked for. Rows and key bounds of both
-    outcomes are counted during the write.
+    outcomes are counted during the write, in one pass. The outcome is a column, as lines would be
+    sorted by a partition.
     """
     lines = parsed_lines(spark, paths, name).withColumn("fits", F.col("missing_columns").isNull())
     key, aside = FILES[name], ["line", "missing_columns"]
-    path, counts = scratch_path(spark, "vocabulary"), [Observation(), Observation()]
+    path, counted = scratch_path(spark, "vocabulary"), Observation()
     # bounds of keys of lines that fit, and of lines that don't
     only = lines.select(
         "*", *[F.when(F.col("fits"), F.col(c)).alias(f"key_{c}") for c in key]
     )
-    observed = observe_bounds(only, counts[0], [f"key_{c}" for c in key])
-    observed = observe_bounds(observed, counts[1], aside)
-    observed = observed.observe(fitting := Observation(), F.count_if("fits").alias("rows"))
-    observed.drop(*[f"key_{c}" for c in key]).write.partitionBy("fits").parquet(path)
+    bounded = [f"key_{c}" for c in key] + aside
+    observed = observe_bounds(only, counted, bounded, F.count_if("fits").alias("fitting"))
+    observed.drop(*[f"key_{c}" for c in key]).write.parquet(path)
     delete_at_exit(spark, path)
     stored = spark.read.schema(lines.schema).parquet(path)
-    total, bounds = observed_bounds(counts[0], [f"key_{c}" for c in key])
-    _, rejected_bounds = observed_bounds(counts[1], aside)
-    accepted_rows = fitting.get["rows"]
+    total, found = observed_bounds(counted, bounded)
+    bounds, rejected_bounds = found[: len(key)], found[len(key) :]
+    accepted_rows = counted.get["fitting"]
     # keys of the other lines were left out as nulls; a row that fits lacks none of its key
     bounds = [Bounds(c, b.low, b.high, False) for c, b in zip(key, bounds)]
     rejected_bounds = [b._replace(nulls=False) for b in rejected_bounds]

@@ -17,6 +17,7 @@ from pyspark.sql.utils import AnalysisException
 from vitalspan.layouts import LAYOUTS, WRITING, clustered_ddl
 from vitalspan.operators.contract import enforce_required
 from vitalspan.operators.key_filter import (
+    FILTER_KEYS,
     Bounds,
     may_hold,
     observe_bounds,
@@ -161,7 +162,8 @@ class TableStore:
             return self.append_staged(*self.stage(df, table, key), table, key)
         held = self.read(table).select(*key)
         held = held.where((F.col(key[0]) >= between[0]) & (F.col(key[0]) < between[1]))
-        return self.append(new_rows(df, held, key), table)
+        # stored keys are far smaller than they are in memory, so they are not to be broadcast
+        return self.append(new_rows(df, held.hint("merge"), key), table)
 
     def stage(self, df: DataFrame, table: str, key: list[str]) -> tuple[DataFrame, list[Bounds]]:
         """``df`` in the types of the table, written to the scratch folder, and its key bounds."""
@@ -180,24 +182,38 @@ class TableStore:
 
         Held rows are looked for only in files whose stored key bounds meet those of the arriving
         rows, and of these files only rows that a filter of the arriving keys lets through are
-        moved. Arriving rows are moved only where their key may come twice, or may be held.
+        moved. Arriving rows are moved only where their key may come twice, or may be held; those
+        that may be held are compared with the held ones first. A filter of so many keys that it
+        would let most through isn't made.
         """
         if not bounds:
             return 0
         before = self._files(table)
         files = self.files_that_may_hold(before, bounds, table)
-        twice = arriving.groupBy(*key).agg(F.count(F.lit(1)).alias("key_rows")).where("key_rows > 1")
-        suspect, held = twice.select(*key), None
+        apart, parts = arriving, []
         if files:
             schema = self.read(table).schema
-            stored = self.spark.read.schema(schema).parquet(*files).where(within(bounds, schema))
-            held = may_hold(stored.select(*key), arriving, key, "key_maybe").where("key_maybe").drop("key_maybe")
-            suspect = suspect.unionByName(held)
-        marked = may_hold(arriving, suspect, key, "key_suspect")
-        checked = one_per_key(marked.where("key_suspect").drop("key_suspect"), key)
-        if held is not None:
-            checked = new_rows(checked, held, key)
-        new = marked.where("NOT key_suspect").drop("key_suspect").unionByName(checked)
+            stored = self.spark.read.schema(schema).parquet(*files)
+            held = stored.where(within(bounds, schema)).select(*key)
+            few, few_held = arriving.count() <= FILTER_KEYS, stored.count() <= FILTER_KEYS
+            if few:
+                held = may_hold(held, arriving, key, "key_maybe").where("key_maybe").drop("key_maybe")
+            near, apart = arriving, None
+            if few or few_held:
+                marked = may_hold(arriving, held, key, "key_near")
+                near, apart = (marked.where(c).drop("key_near") for c in ("key_near", "NOT key_near"))
+            if not few_held:
+                # stored keys are far smaller than they are in memory
+                held = held.hint("merge")
+            nulls = any(bound.nulls for bound in bounds)
+            parts.append(one_per_key(new_rows(near, held, key, nulls), key))
+        if apart is not None:
+            hashes = apart.groupBy(F.xxhash64(*key).alias("key_hash"))
+            twice = hashes.agg(F.count(F.lit(1)).alias("key_rows")).where("key_rows > 1")
+            marked = may_hold(apart, twice, key, "key_suspect", "key_hash")
+            parts.append(marked.where("NOT key_suspect").drop("key_suspect"))
+            parts.append(one_per_key(marked.where("key_suspect").drop("key_suspect"), key))
+        new = functools.reduce(DataFrame.unionByName, parts)
         counter = Observation()
         self._write(observe_bounds(new, counter, key), table)
         rows, written = observed_bounds(counter, key)
@@ -306,10 +322,16 @@ def one_per_key(df: DataFrame, key: list[str]) -> DataFrame:
     return least.select(*columns) if rest else least
 
 
-def new_rows(df: DataFrame, held: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``held``; nulls are equal to each other."""
+def new_rows(df: DataFrame, held: DataFrame, key: list[str], nulls: bool = True) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``held``; nulls are equal to each other.
+
+    ``nulls`` tells whether a key of ``df`` may have some; without, less is compared and moved.
+    """
     known = held.select(*[F.col(c).alias(f"held_{c}") for c in key])
-    same = [F.col(c).eqNullSafe(F.col(f"held_{c}")) for c in key]
+    same = [
+        F.col(c).eqNullSafe(F.col(f"held_{c}")) if nulls else F.col(c) == F.col(f"held_{c}")
+        for c in key
+    ]
     return df.join(known, functools.reduce(Column.__and__, same), "left_anti")
 
 
