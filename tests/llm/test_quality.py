@@ -111,6 +111,13 @@ def test_scores_of_odd_rows_and_labels(spark, odd_docs, no_docs):
     assert quality_qda.accepted(no_docs, no_docs, labels).collect() == []
 
 
+def test_only_texts_go_to_python_and_no_row_comes_back(spark, odd_docs):
+    labels = spark.createDataFrame([(3, 1), (4, 0)], "doc_id long, quality int")
+    for kept in (quality_rules.accepted(odd_docs), quality_qda.accepted(odd_docs, odd_docs, labels)):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan
+
+
 def test_discriminant_is_the_density_ratio():
     rng = np.random.default_rng(0)
     size = len(quality_qda.FEATURES)

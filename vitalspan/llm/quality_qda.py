@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalspan.llm.common import batch, documents, importable, written
-from vitalspan.llm.quality_rules import with_statistics
 from vitalspan.llm.statistics import text_statistics
 
 FEATURES = [
@@ -163,14 +162,10 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that a model of the ``labelled`` documents takes for good."""
     model = fit(with_features(labelled), labels)
-    packed = with_statistics(docs.select(F.struct("*").alias("row"), "text"), "text", "s")
-    names = [f.name for f in packed.schema["s"].dataType.fields]
-    schema = packed.select("row").schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            stats = rows.column(1)
-            x = features({n: stats.field(i).to_numpy() for i, n in enumerate(names)})
-            yield rows.select([0]).filter(pa.array(model.scores(x) >= THRESHOLD))
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(model.scores(features(text_statistics(texts))) >= THRESHOLD)
 
-    return packed.select("row", "s").mapInArrow(run, schema).select("row.*")
+    good = F.arrow_udf(run, "boolean").asNondeterministic()
+    judged = docs.select(F.struct("*").alias("row"), good(F.col("text")).alias("good"))
+    return judged.filter("good").select("row.*")

@@ -14,8 +14,6 @@ gives no rows. Of other columns none are read, and names that clash with results
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,22 +43,22 @@ STATS = T.StructType([T.StructField(name, T.LongType()) for name in NAMES])
 
 
 def with_statistics(df: DataFrame, text: str, name: str) -> DataFrame:
-    """``df`` with the counts of its ``text`` as a struct column ``name``."""
+    """``df`` with the counts of its ``text`` as a struct column ``name``.
+
+    Only the texts go to Python, and only counts come back. Spark may not copy the call into the
+    conditions that use them.
+    """
     importable(df.sparkSession)
-    at = df.columns.index(text)
     kinds = [pa.field(n, pa.int64()) for n in NAMES]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            counts = text_statistics(rows.column(at))
-            column = pa.StructArray.from_arrays(
-                [pa.array(counts[n], pa.int64()) for n in NAMES], fields=kinds
-            )
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns, column], names=[*rows.schema.names, name]
-            )
-
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, STATS)]))
+    def run(texts: pa.Array) -> pa.Array:
+        counts = text_statistics(texts)
+        return pa.StructArray.from_arrays(
+            [pa.array(counts[n], pa.int64()) for n in NAMES], fields=kinds
+        )
+
+    counted = F.arrow_udf(run, STATS).asNondeterministic()
+    return df.select("*", counted(F.col(text)).alias(name))
 
 
 def base_failed(stats: str) -> Column:
