@@ -284,6 +284,27 @@ def test_large_regions_of_lines_are_compared_in_cells(spark, monkeypatch):
     assert len(pairs) > 700 and found >= 0.97 * len(pairs)
 
 
+def test_copies_with_small_changes_leave_nothing_for_cells(spark, monkeypatch):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    base, texts = [word() for _ in range(40)], []
+    for _ in range(60):
+        own = list(base)
+        own[rng.randrange(40)] = word()
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left, in_cells = [], fuzzy_lines.in_cells
+
+    def counted(docs, classes, rows):
+        left.append((rows.select("h").distinct().count(), rows.select("root").distinct().count()))
+        return in_cells(docs, classes, rows)
+
+    monkeypatch.setattr(fuzzy_lines, "in_cells", counted)
+    groups = {r["group_id"] for r in fuzzy_lines.line_groups(docs).collect()}
+    (regions, roots), = left
+    assert regions > 0 and roots == 1 and len(groups) == 1
+
+
 def test_rows_that_repeat_an_id_are_decided_by_their_own_text(spark):
     rng = random.Random(6)
     text = lambda: [str(rng.randint(0, 10**6)) for _ in range(60)]
