@@ -5,10 +5,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from vitalspan.llm import pack_fit, pack_squares, pair_index_bpe, trie_counts
+from vitalspan.llm import common, pack_fit, pack_squares, pair_index_bpe, trie_counts
 from vitalspan.llm.queries import vocabulary
 
 
@@ -198,3 +199,22 @@ def test_a_trie_shares_prefixes():
     trie = trie_counts.Trie({"a": -1.0, "ab": -1.5, "b": -1.0, "abc": -4.0, "c": -1.0})
     assert [trie.count(w) for w in ("ab", "abc", "abd", "")] == [1, 2, 2, 0]
     assert len(trie.scores) == 5
+
+
+def test_workers_get_batches_of_bounded_bytes(spark):
+    key, _ = common.BATCH
+    docs = spark.range(3000).selectExpr("id AS doc_id", "repeat('abcdefgh', 1250) AS text").repartition(1)
+
+    def sizes(batches):
+        for rows in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([rows.nbytes])], names=["n"])
+
+    common.importable(spark)
+    assert max(r["n"] for r in docs.mapInArrow(sizes, "n long").collect()) < 10 << 20
+    own = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(1 << 20))
+        common.importable(spark)
+        assert spark.conf.get(key) == str(1 << 20)
+    finally:
+        spark.conf.set(key, own)
