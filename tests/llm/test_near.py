@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from vitalspan.llm import components, fuzzy_lines, lsh_forest, regions
+from vitalspan.llm import banded, components, fuzzy_lines, lsh_forest, regions
 
 
 def shingles(text, size):
@@ -338,3 +338,28 @@ def test_bounds_of_edit_distances():
     want = [100 * e <= 20 * max(len(x), len(y)) for x, y, e in zip(xs, ys, exact)]
     assert fuzzy_lines.pairs_similar(xs, ys).tolist() == want
     assert 50 < sum(want) < 350 and fuzzy_lines.pairs_similar([], []).tolist() == []
+
+
+def test_distances_of_many_pairs_at_once(monkeypatch):
+    rng = random.Random(13)
+    xs, ys = [], []
+    for i in range(1500):
+        own = [rng.choice("abcé😀 ") for _ in range(rng.randint(0, 90) if i else 3000)]
+        other = list(own)
+        for _ in range(rng.randint(0, 20)):
+            at = rng.randrange(len(other) + 1)
+            other[at : at + rng.randint(0, 2)] = rng.choices("abc", k=rng.randint(0, 2))
+        xs.append("".join(own))
+        ys.append("".join(other))
+    exact = np.array([fuzzy_lines.edit_distance(x, y) for x, y in zip(xs, ys)])
+    most = np.array([rng.randint(0, 25) for _ in xs])
+    assert (banded.near(xs, ys, most) == (exact <= most)).all()
+    assert 300 < (exact <= most).sum() < 1400 and (exact == most).any()
+    want = [100 * e <= 20 * max(len(x), len(y)) for x, y, e in zip(xs, ys, exact.tolist())]
+    # none is computed alone
+    monkeypatch.setattr(fuzzy_lines, "edit_distance", None)
+    assert fuzzy_lines.pairs_similar(xs, ys).tolist() == want
+    monkeypatch.undo()
+    # but those too long to be compared together are
+    monkeypatch.setattr(banded, "LONGEST", 40)
+    assert fuzzy_lines.pairs_similar(xs, ys).tolist() == want
