@@ -7,7 +7,7 @@ import records
 
 import __spark_entry__ as entry
 from vitalspan.operators.keys import assign_keys_by_position
-from vitalspan.plans import births
+from vitalspan.plans import births, deaths
 from vitalspan.sources.files import with_lineage
 
 
@@ -29,6 +29,16 @@ def keyed(spark, birth_files):
     return assign_keys_by_position(accepted, scan, "person_id")
 
 
+def test_dates_are_cast_and_rejected_deaths_told_apart_first(spark):
+    """Below the step that carries all columns along, only records without a death time are left."""
+    raw = records.deaths(spark, [{"DTOBITO": "32132010"}, {}, {"DTOBITO": "31021999"}, {"DTOBITO": None}])
+    _, rejected = deaths.accepted_deaths(raw)
+    below = plan(rejected).split("Generate explode")[1].splitlines()[1:]
+    parsed = [line for line in below if "Filter" in line and "gettimestamp" in line]
+    assert len(parsed) == 1 and "try_cast(" in parsed[0]
+    assert sorted(row.DTOBITO for row in rejected.collect()) == ["31021999", "32132010"]
+
+
 def test_facts_need_no_exchange_of_records(keyed):
     text = plan(births.measurement(keyed))
     # the only shuffle is that of the file sizes, below their broadcast

@@ -64,6 +64,27 @@ def test_timestamp_of_date_and_time(spark):
     assert got == dt.datetime(2010, 5, 7, 11, 55)
 
 
+def test_dates_and_times_are_those_of_the_pattern(spark):
+    """Eight digits are cast, others parsed by the pattern; both give what the pattern alone gives."""
+    days = ["29022000", "29021900", "31041999", "01010000", "00011999", "99999999", "31129999"]
+    days += ["7051998", "070519981", " 7051998", "07/05/98", "07051998\n", "+7051998", "", None]
+    clocks = ["0000", "2359", "2400", "1260", "930", "9H30", "0203\n", "12345", "", None]
+    rows = spark.createDataFrame([(d, c) for d in days for c in clocks], "d string, c string")
+    text = "concat(lpad(d, 8, '0'), ' ', lpad({}, 4, '0'))"
+    timed, dated = (
+        F.try_to_timestamp(F.expr(text.format(clock)), F.lit("ddMMyyyy HHmm"))
+        for clock in ("coalesce(c, '0000')", "'0000'")
+    )
+    day = F.try_to_timestamp(F.expr("lpad(d, 8, '0')"), F.lit("ddMMyyyy")).cast("date")
+    same = (
+        clean.event_timestamp(F.col("d"), F.col("c")).eqNullSafe(timed)
+        & clean.event_timestamp(F.col("d")).eqNullSafe(dated)
+        & clean.source_date(F.col("d")).eqNullSafe(day)
+    )
+    assert rows.where(~same).collect() == []
+    assert rows.where(clean.event_timestamp(F.col("d"), F.col("c")).isNotNull()).count() > 0
+
+
 def test_first_valid_date_wins(spark):
     column = clean.first_valid_timestamp(F.col("a"), F.col("b"))
     assert value(spark, column, a="99999999", b="07052010") == dt.datetime(2010, 5, 7)

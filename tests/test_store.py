@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 import records
 from pyspark.sql import functions as F
@@ -23,6 +24,32 @@ def test_create_and_drop_all_tables(spark, store):
     assert spark.catalog.listTables(store.database) == []
 
 
+def test_moments_are_stored_as_numbers(spark, store):
+    """Unless the session says how; its settings are as before afterwards."""
+    key = "spark.sql.parquet.outputTimestampType"
+    day = dt.datetime(2020, 2, 29, 23, 59)
+    rows = spark.createDataFrame([(day,), (None,)], "moment timestamp")
+    store.create("moments", rows.schema)
+    store.append(rows.coalesce(1), "moments")
+    assert spark.conf.get(key, None) is None
+    kinds = {stored_kind(name) for name in store.read("moments").inputFiles()}
+    assert kinds == {"INT64"}
+    spark.conf.set(key, "INT96")
+    try:
+        store.append(rows.coalesce(1), "moments")
+        assert spark.conf.get(key, None) == "INT96"
+    finally:
+        spark.conf.unset(key)
+    kinds = {stored_kind(name) for name in store.read("moments").inputFiles()}
+    assert kinds == {"INT64", "INT96"}
+    assert sorted(row.moment or dt.datetime.min for row in store.read("moments").collect()) == [
+        dt.datetime.min, dt.datetime.min, day, day]
+
+
+def stored_kind(file):
+    return pq.ParquetFile(file.removeprefix("file:")).schema.column(0).physical_type
+
+
 def test_append_is_by_name_and_counts(spark, store):
     store.create("death", TABLES["death"])
     frame = spark.range(5).select(

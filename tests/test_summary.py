@@ -68,6 +68,14 @@ def test_summary_exchanges_the_rows_of_a_table_once(spark, store):
     assert not [line for line in text.splitlines() if "Exchange" in line and "own_day" in line.split("[plan_id")[0]]
 
 
+def test_summary_takes_persons_once(spark, store):
+    """What is told of all persons of a table is one subquery, whatever uses it."""
+    event = tables(spark, store)
+    found = summary(store, event, "observation")
+    assert found.collect()[0].rows == 6
+    assert "ReusedSubquery" in plan(found)
+
+
 def test_tables_are_written_small(spark, store, tmp_path):
     """Keys that count up take no room worth mentioning."""
     rows = spark.range(0, 200_000, 1, 1).selectExpr("id as k", "id div 10 as person")
